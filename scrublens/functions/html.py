@@ -9,7 +9,8 @@ order matter; wrapping, list numbering, table rulers and escapes are not imitate
 from __future__ import annotations
 
 import html.entities
-import re
+import operator
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -79,14 +80,16 @@ _PORT = (
     ":[0-9]{1,4}|[1-5][0-9]{4}|6[0-4][0-9]{3}|65[0-4][0-9]{2}|655[0-2][0-9]|6553[0-5]"
 )
 _PATH = rf"(?:/[{WORD}./\-]*)?"
-# A word boundary, spelled out because \b depends on the Java version.
-_EDGE = f"(?:(?<![{WORD}])(?=[{WORD}])|(?<=[{WORD}])(?![{WORD}]))"
+# Word boundaries, spelled out because \b depends on the Java version; the first with
+# only the characters an address can begin with.
+_HEAD_EDGE = rf"(?:(?<![{WORD}])(?=[\p{{Nd}}a-zA-F])|(?=[.:\-])(?<=[{WORD}]))"
+_TAIL_EDGE = f"(?:(?<![{WORD}])(?=[{WORD}])|(?<=[{WORD}])(?![{WORD}]))"
 # Whatever matches has a dot or colon as its first character outside this class;
 # the look-ahead rules out plain words before the alternatives are tried.
 _URL_HEAD = r"(?=[\p{Nd}a-zA-F\-]*+[.:])"
 URL = (
-    f"{_EDGE}{_URL_HEAD}(?:https?://)?(?:{_HOST}|{_IPV4}|(?:{_IPV6}))"
-    f"(?:{_PORT})?{_PATH}{_EDGE}"
+    f"{_HEAD_EDGE}{_URL_HEAD}(?:https?://)?(?:{_HOST}|{_IPV4}|(?:{_IPV6}))"
+    f"(?:{_PORT})?{_PATH}{_TAIL_EDGE}"
 )
 
 # Markdown markers by tag name; a closing tag has a leading "/". Tags that are not
@@ -185,17 +188,22 @@ def delete_urls(text: Column) -> Column:
 
 def delete_emails(text: Column) -> Column:
     """Delete e-mail addresses where they stand."""
-    return F.regexp_replace(text, EMAIL.regex, "")
+
+    def without(cell: Column) -> Column:
+        deleted = F.regexp_replace(cell, EMAIL.regex, "")
+        return F.when(F.contains(cell, F.lit(EMAIL.needs)), deleted).otherwise(cell)
+
+    return bind(text, without)
 
 
 def delete_url_tokens(text: Column) -> Column:
     """Delete every ``<``, ``>``, ``url_start`` and ``url_end``."""
-    return F.replace(F.regexp_replace(text, "<|>|url_start", ""), F.lit("url_end"), F.lit(""))
+    return F.replace(F.regexp_replace(text, "[<>]|url_start", ""), F.lit("url_end"), F.lit(""))
 
 
 def delete_email_tokens(text: Column) -> Column:
     """Delete every ``<``, ``>``, ``email_start`` and ``email_end``."""
-    return F.replace(F.regexp_replace(text, "<|>|email_start", ""), F.lit("email_end"), F.lit(""))
+    return F.replace(F.regexp_replace(text, "[<>]|email_start", ""), F.lit("email_end"), F.lit(""))
 
 
 def delete_tokens(text: Column) -> Column:
@@ -210,8 +218,11 @@ def split_sentences(text: Column) -> Column:
 
 def drop_marked(sentences: Column) -> Column:
     """Keep the sentences that hold none of the markers."""
-    marked = "|".join(re.escape(marker) for marker in SENTENCE_MARKERS)
-    return F.filter(sentences, lambda sentence: ~sentence.rlike(marked))
+
+    def unmarked(sentence: Column) -> Column:
+        return ~reduce(operator.or_, (F.contains(sentence, F.lit(m)) for m in SENTENCE_MARKERS))
+
+    return F.filter(sentences, unmarked)
 
 
 def cut_see_more(sentences: Column) -> Column:

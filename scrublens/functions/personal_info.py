@@ -7,8 +7,10 @@ the (usually empty) list of matches.
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -108,15 +110,31 @@ def mask_matches(
 
 
 def delete_lines(text: Column, patterns: Sequence[Pattern] = ALL_PATTERNS) -> Column:
-    """Drop each ``\\n``-separated line of the cell that holds a match."""
+    """Drop each ``\\n``-separated line of the cell that holds a match.
 
-    def clean(line: Column) -> Column:
-        hit = F.lit(False)
-        for pattern in patterns:
-            hit = hit | line.rlike(pattern.regex)
-        return ~hit
-
-    return F.array_join(F.filter(F.split(text, "\n", -1), clean), "\n")
+    A cell none of whose text matches is not taken apart: a match within a line is
+    also one within the cell.
+    """
+    hit = _any_match(patterns)
+
+    def kept(cell: Column) -> Column:
+        lines = F.filter(F.split(cell, "\n", -1), lambda line: ~hit(line))
+        return F.when(hit(cell), F.array_join(lines, "\n")).otherwise(cell)
+
+    return bind(text, kept)
+
+
+def _any_match(patterns: Sequence[Pattern]) -> Callable[[Column], Column]:
+    """Whether some pattern matches. Those that begin with a digit or a character of a
+    digit group share a scan."""
+    numeric = [p.regex for p in patterns if p is not EMAIL]
+    tests: list[Callable[[Column], Column]] = []
+    if numeric:
+        regex = r"(?=[0-9,\-])(?:" + "|".join(numeric) + ")"
+        tests.append(lambda cell: cell.rlike(regex))
+    if EMAIL in patterns:
+        tests.append(lambda cell: F.contains(cell, F.lit("@")) & cell.rlike(EMAIL.regex))
+    return lambda cell: reduce(operator.or_, (test(cell) for test in tests))
 
 
 def _fold_patterns(

@@ -3,14 +3,14 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from scrublens.functions.charclass import SPACE, WORD, strip
 
-# A lone space is left alone, so ordinary prose yields few matches to replace.
-_BLANK_RUN = r"[\t\n\x0B\f\r][ \t\n\x0B\f\r]*+| [ \t\n\x0B\f\r]++"
+_BLANK_RUN = r"[ \t\n\x0B\f\r]+"
 _SPECIAL = f"[^{WORD}{SPACE}]"
 
 
@@ -26,22 +26,19 @@ def remove_all_special(text: Column) -> Column:
     return F.regexp_replace(text, _SPECIAL, " ")
 
 
-def remove_selected_special(text: Column, characters: str | None) -> Column:
+def remove_selected_special(text: Column, characters: Iterable[str] | None) -> Column:
     """Each listed character becomes one space. An empty list changes nothing."""
     if characters is None:
         raise ValueError("the list of special characters is missing")
-    if not characters:
+    if not _class_body(characters):
         return text
-    # Code points, not UTF-16 units: translate() pairs them one to one.
-    listed = "".join(dict.fromkeys(characters))
-    return F.translate(text, listed, " " * len(listed))
+    return F.regexp_replace(text, f"[{_class_body(characters)}]", " ")
 
 
-def keep_listed_special(text: Column, characters: str) -> Column:
+def keep_listed_special(text: Column, characters: Iterable[str]) -> Column:
     """Everything but Hangul syllables, ASCII letters and digits, whitespace and
     the listed characters becomes one space."""
-    kept = "".join(_class_literal(ch) for ch in dict.fromkeys(characters))
-    return F.regexp_replace(text, f"[^가-힣a-zA-Z0-9{SPACE}{kept}]", " ")
+    return F.regexp_replace(text, f"[^가-힣a-zA-Z0-9{SPACE}{_class_body(characters)}]", " ")
 
 
 def blank_outlier(text: Column, shortest: int, longest: int) -> Column:
@@ -51,6 +48,7 @@ def blank_outlier(text: Column, shortest: int, longest: int) -> Column:
     return F.when(fits, text).when(text.isNotNull(), F.lit(""))
 
 
-def _class_literal(ch: str) -> str:
-    """``ch`` as a literal inside a Java character class."""
-    return ch if re.fullmatch(r"[A-Za-z0-9]", ch) or ord(ch) > 127 else f"\\x{ord(ch):02X}"
+def _class_body(characters: Iterable[str]) -> str:
+    """The characters as literals inside a regex class."""
+    listed = "".join(dict.fromkeys("".join(characters)))
+    return re.sub(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]", lambda m: f"\\x{ord(m[0]):02X}", listed)

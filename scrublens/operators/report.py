@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -46,8 +46,8 @@ def preview(
 ) -> DataFrame | None:
     """The first ``rows`` lines of the report, text cells cut to ``width`` characters.
 
-    The lines are found from the ids alone, so no more than ``rows`` ids are broadcast
-    and only their texts are joined.
+    The lines are found from the ids alone; then only the rows of these, ``rows`` at
+    most, are looked up in the two tables, by a filter that reaches the scan.
     """
     changed = _collect_changed(before, after, mapping, id_col)
     if not changed:
@@ -55,11 +55,11 @@ def preview(
     ids = before.select(column(id_col)).join(
         after.select(column(id_col)), on=id_col, how="left_semi"
     )
-    first = F.broadcast(ids.distinct().orderBy(column(id_col)).limit(rows))
-    old = before.join(first, on=id_col, how="left_semi")
-    new = after.join(first, on=id_col, how="left_semi")
-    lines = join_sides(old, new, changed, id_col).orderBy(column(id_col)).limit(rows)
-    return lines.select(*(_cut(lines, name, width) for name in lines.columns))
+    first = [row[0] for row in ids.distinct().orderBy(column(id_col)).limit(rows).collect()]
+    listed = column(id_col).isin(first)
+    lines = join_sides(before.filter(listed), after.filter(listed), changed, id_col)
+    top = lines.orderBy(column(id_col)).limit(rows)
+    return top.select(*(_cut(top, name, width) for name in top.columns))
 
 
 def _collect_changed(
@@ -72,7 +72,7 @@ def _collect_changed(
     return [pair for pair in mapping.items() if pair in found]
 
 
-def _cut(df: DataFrame, name: str, width: int):
+def _cut(df: DataFrame, name: str, width: int) -> Column:
     value = column(name)
     if not isinstance(df.schema[name].dataType, StringType):
         return value

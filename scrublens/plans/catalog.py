@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scrublens.functions import html, personal_info, text
+from scrublens.functions.charclass import bind
 from scrublens.operators import diff, report, tables
 from scrublens.operators.columns import (
     Cleaner,
@@ -192,8 +193,9 @@ NEW_NAMES = {"text": "body", "lang": "lang", "source": "origin"}
 
 def _mask_or_null(cell: Column) -> Column:
     """Masked text; a cell too short or too long becomes NULL."""
-    blanked = text.blank_outlier(personal_info.mask_matches(cell), SHORTEST, LONGEST)
-    return F.nullif(blanked, F.lit(""))
+    return bind(
+        personal_info.mask_matches(cell), lambda masked: F.nullif(_outlier(masked), F.lit(""))
+    )
 
 
 def _changed_rows(null_safe: bool) -> Query:

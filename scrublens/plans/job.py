@@ -63,11 +63,13 @@ class JobSpec:
         cleaner_for(self)
 
     @classmethod
-    def from_params(cls, params: Mapping[str, Any], **overrides: Any) -> JobSpec:
-        """From a parameter record as callers send it: ``preprocessType``,
-        ``inputDataPath``, ``outputDataPath``, ``newTableColumns``,
+    def from_params(cls, params: Mapping[str, Any] | object, **overrides: Any) -> JobSpec:
+        """From a parameter record as callers send it, a dict or an object:
+        ``preprocessType``, ``inputDataPath``, ``outputDataPath``, ``newTableColumns``,
         ``targetTableColumns``, ``optionType``, ``optionContent``, ``optionMin`` and
         ``optionMax``, the last two as text."""
+        if not isinstance(params, Mapping):
+            params = vars(params)
         bounds = (params.get("optionMin"), params.get("optionMax"))
         shortest, longest = (None if bound is None else int(bound) for bound in bounds)
         fields = {
@@ -162,7 +164,11 @@ def run_job(spark: SparkSession, spec: JobSpec, on_error: str = "raise") -> JobR
         raise ValueError("on_error is 'raise' or 'record'")
     try:
         source = read_table(spark, spec.input_path, spec.fmt)
-        write_table(clean(spread(source), spec), spec.output_path, spec.fmt)
+        by_row = spec.job_type != REMOVE_DUPLICATE_ROW
+        cleaned = clean(spread(source) if by_row else source, spec)
+        if spec.mapping:
+            resolve_id(source, cleaned, spec.id_col)  # before anything is written
+        write_table(cleaned, spec.output_path, spec.fmt)
         output = read_table(spark, spec.output_path, spec.fmt)
         metrics = job_metrics(source, output, spec)
     except Exception as error:
