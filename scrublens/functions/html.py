@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html.entities
 import operator
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column
@@ -107,11 +108,6 @@ TAG_MARKERS = {
     "dl": " ", "/dl": " ", "/dt": " ", "dd": " ", "/dd": " ",
     "table": " ", "/table": " ", "tr": " ", "/tr": " ", "td": " ", "th": " ",
 }
-
-# Numeric references 0x80 to 0x9F mean these, for historical reasons.
-_C1_MEANINGS = "".join(
-    bytes([code]).decode("cp1252", errors="ignore") or chr(code) for code in range(0x80, 0xA0)
-)
 # ----------------------------------------------------------------------------
 
 _TAG = "<[/!?]?[A-Za-z][^<>]*+>"
@@ -133,6 +129,7 @@ _LINK = (
 )
 
 _CHARREF = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
+_CHARREF_HEAD = r"&[^\t\n\f <&;]"
 _FIELD, _ENTRY = "\x02", "\x01"
 
 
@@ -141,13 +138,16 @@ def unescape(text: Column) -> Column:
     the old ones written without ``;``, and numeric ones with HTML's corrections.
     """
 
+    names = _names()
+
     def decode_all(cell: Column) -> Column:
         literal = F.split(cell, _CHARREF, -1)
-        decoded = F.transform(F.regexp_extract_all(cell, F.lit(_CHARREF), F.lit(0)), _decode_ref)
+        refs = F.regexp_extract_all(cell, F.lit(_CHARREF), F.lit(0))
+        decoded = F.transform(refs, lambda ref: _decode_ref(ref, names))
         pairs = F.zip_with(literal, decoded, lambda s, d: F.concat(s, F.coalesce(d, F.lit(""))))
-        return F.when(F.contains(cell, F.lit("&")), F.array_join(pairs, "")).otherwise(cell)
+        return F.when(cell.rlike(_CHARREF_HEAD), F.array_join(pairs, "")).otherwise(cell)
 
-    return bind(text, decode_all)
+    return _where_held(text, ["&"], decode_all)
 
 
 def br_to_newline(text: Column) -> Column:
@@ -168,7 +168,7 @@ def strip_tags(text: Column) -> Column:
     """
     text = F.regexp_replace(text, _HIDDEN, "")
     text = F.regexp_replace(text, _HEAD, "")
-    text = F.regexp_replace(text, _SELF_LINK, "$2")
+    text = _where_held(text, ["://"], lambda cell: F.regexp_replace(cell, _SELF_LINK, "$2"))
     text = F.regexp_replace(text, _LINK, r"[$4]($1$2$3)")
 
     def mark_all(cell: Column) -> Column:
@@ -188,22 +188,17 @@ def delete_urls(text: Column) -> Column:
 
 def delete_emails(text: Column) -> Column:
     """Delete e-mail addresses where they stand."""
-
-    def without(cell: Column) -> Column:
-        deleted = F.regexp_replace(cell, EMAIL.regex, "")
-        return F.when(F.contains(cell, F.lit(EMAIL.needs)), deleted).otherwise(cell)
-
-    return bind(text, without)
+    return _where_held(text, [EMAIL.needs], lambda cell: F.regexp_replace(cell, EMAIL.regex, ""))
 
 
 def delete_url_tokens(text: Column) -> Column:
     """Delete every ``<``, ``>``, ``url_start`` and ``url_end``."""
-    return F.replace(F.regexp_replace(text, "[<>]|url_start", ""), F.lit("url_end"), F.lit(""))
+    return _delete_tokens(text, "url_start", "url_end")
 
 
 def delete_email_tokens(text: Column) -> Column:
     """Delete every ``<``, ``>``, ``email_start`` and ``email_end``."""
-    return F.replace(F.regexp_replace(text, "[<>]|email_start", ""), F.lit("email_end"), F.lit(""))
+    return _delete_tokens(text, "email_start", "email_end")
 
 
 def delete_tokens(text: Column) -> Column:
@@ -250,6 +245,29 @@ def html_to_text(text: Column) -> Column:
     return bind(br_to_newline(unescape(text)), render)
 
 
+def _where_held(
+    text: Column, needles: Sequence[str], rewrite: Callable[[Column], Column]
+) -> Column:
+    """``rewrite`` the cells that hold one of ``needles``; the others are none of its
+    business, and finding that out is much cheaper than a regex scan."""
+
+    def rewritten(cell: Column) -> Column:
+        held = reduce(operator.or_, (F.contains(cell, F.lit(needle)) for needle in needles))
+        return F.when(held, rewrite(cell)).otherwise(cell)
+
+    return bind(text, rewritten)
+
+
+def _delete_tokens(text: Column, start: str, end: str) -> Column:
+    """Angle brackets and ``start`` in one pass, then ``end``: a name that only comes
+    about by a deletion goes if a later pass looks for it."""
+
+    def without(cell: Column) -> Column:
+        return F.replace(F.regexp_replace(cell, f"[<>]|{start}", ""), F.lit(end), F.lit(""))
+
+    return _where_held(text, ["<", ">", start, end], without)
+
+
 def _tag_marker(tag: Column) -> Column:
     name = F.lower(F.regexp_extract(tag, "^</?([A-Za-z][A-Za-z0-9]*)", 1))
     key = F.concat(F.when(F.startswith(tag, F.lit("</")), F.lit("/")).otherwise(F.lit("")), name)
@@ -266,21 +284,17 @@ def _attribute(tag: Column, name: str) -> Column:
     return F.concat(*(F.regexp_extract(tag, value, group) for group in (1, 2, 3)))
 
 
-def _decode_ref(ref: Column) -> Column:
-    return (
-        F.when(F.startswith(ref, F.lit("&#")), _decode_number(ref))
-        .when(
-            F.endswith(ref, F.lit(";")), F.coalesce(F.element_at(_names(), ref), _decode_old(ref))
-        )
-        .otherwise(_decode_old(ref))
-    )
+def _decode_ref(ref: Column, names: Column) -> Column:
+    whole = F.when(F.endswith(ref, F.lit(";")), F.element_at(names, ref))
+    named = F.coalesce(whole, _decode_old(ref, names))
+    return F.when(F.startswith(ref, F.lit("&#")), _decode_number(ref)).otherwise(named)
 
 
-def _decode_old(ref: Column) -> Column:
+def _decode_old(ref: Column, names: Column) -> Column:
     """A reference that begins with one of the names valid without ``;``."""
     old = sorted((n for n in html.entities.html5 if not n.endswith(";")), key=len, reverse=True)
     prefix = F.regexp_extract(ref, "^&(?:" + "|".join(old) + ")", 0)
-    decoded = F.concat(F.element_at(_names(), prefix), F.substr(ref, F.length(prefix) + 1))
+    decoded = F.concat(F.element_at(names, prefix), F.substr(ref, F.length(prefix) + 1))
     return F.when(prefix != "", decoded).otherwise(ref)
 
 
@@ -299,30 +313,29 @@ def _literal_map(entries: dict[str, str]) -> Column:
 def _decode_number(ref: Column) -> Column:
     hexadecimal = F.regexp_extract(ref, "^&#[xX]0*([0-9a-fA-F]*)", 1)
     decimal = F.regexp_extract(ref, "^&#0*([0-9]*)", 1)
-    is_hex = ref.rlike("^&#[xX]")
     # Up to 0x10FFFF; anything longer is out of range whatever its value.
     from_hex = F.when(F.length(hexadecimal) <= 6, F.conv(F.concat(F.lit("0"), hexadecimal), 16, 10))
     from_decimal = F.when(F.length(decimal) <= 7, F.concat(F.lit("0"), decimal))
-    code = F.coalesce(
-        F.when(is_hex, from_hex).otherwise(from_decimal).cast("int"), F.lit(0x110000)
-    )
+    is_hex = F.lower(F.substring(ref, 3, 1)) == "x"
+    number = F.when(is_hex, from_hex).otherwise(from_decimal).cast("int")
+    corrected = _literal_map({str(code): text for code, text in _corrections().items()})
 
     def character(code: Column) -> Column:
-        replacement = (code == 0) | code.between(0xD800, 0xDFFF) | (code > 0x10FFFF)
-        ignored = (
-            code.between(0x1, 0x8)
-            | (code == 0xB)
-            | code.between(0xE, 0x1F)
-            | (code == 0x7F)
-            | code.between(0xFDD0, 0xFDEF)
-            | (code.bitwiseAND(F.lit(0xFFFE)) == 0xFFFE)
-        )
+        valid = (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
         encoded = F.unhex(F.lpad(F.hex(code), 8, "0"))
-        return (
-            F.when(replacement, F.lit("�"))
-            .when(code.between(0x80, 0x9F), F.substr(F.lit(_C1_MEANINGS), code - 0x7F, F.lit(1)))
-            .when(ignored, F.lit(""))
-            .otherwise(F.decode(encoded, "UTF-32"))
+        return F.coalesce(
+            F.element_at(corrected, code.cast("string")),
+            F.when(valid, F.decode(encoded, "UTF-32")),
+            F.lit("�"),
         )
 
-    return bind(code, character)
+    return bind(number, character)
+
+
+def _corrections() -> dict[int, str]:
+    """Code points that a numeric reference may name but does not mean: zero, the C1
+    controls read as Windows-1252, and the controls and non-characters that vanish."""
+    vanish = [*range(0x1, 0x9), 0xB, *range(0xE, 0x20), 0x7F, *range(0xFDD0, 0xFDF0)]
+    vanish += [plane << 16 | low for plane in range(0x11) for low in (0xFFFE, 0xFFFF)]
+    c1 = {code: bytes([code]).decode("cp1252", "ignore") or chr(code) for code in range(0x80, 0xA0)}
+    return {0: "�", **dict.fromkeys(vanish, ""), **c1}

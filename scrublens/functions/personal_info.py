@@ -50,24 +50,27 @@ PHONE = Pattern(
 )
 
 # Digit runs of 11 to 13, hyphenated groups, and groups followed by a digit run;
-# the first alternative that fits wins. "," and "-" may stand inside a group.
+# the first alternative that fits wins. "," and "-" may stand inside a group. The
+# look-ahead is no condition of its own: it only saves trying groups in all lengths
+# where no digit run follows that could end them.
 _GROUPS = r"[0-9,\-]{3,6}-[0-9,\-]{2,6}-[0-9,\-]{2,6}"
 _DIGITS_11 = r"[0-9]\p{Nd}{10}"
 _DIGITS_12 = r"[0-9]\p{Nd}{11}"
 _DIGITS_13 = r"[0-9]\p{Nd}{12}"
+_RUN_AFTER_GROUPS = rf"(?=[0-9,\-]{{9,40}}?{_DIGITS_11})"
 ACCOUNT = Pattern(
     "account",
     r"(?=[0-9,\-])(?:"
     + "|".join(
         (
             _DIGITS_13,
-            _GROUPS + _GROUPS + _DIGITS_13,
-            _GROUPS + r"-[0-9,\-]{2}" + _DIGITS_12,
-            _GROUPS + _DIGITS_13,
-            _GROUPS + _DIGITS_12,
+            _RUN_AFTER_GROUPS + _GROUPS + _GROUPS + _DIGITS_13,
+            _RUN_AFTER_GROUPS + _GROUPS + r"-[0-9,\-]{2}" + _DIGITS_12,
+            _RUN_AFTER_GROUPS + _GROUPS + _DIGITS_13,
+            _RUN_AFTER_GROUPS + _GROUPS + _DIGITS_12,
             _DIGITS_12,
-            _GROUPS + r"-[0-9,\-]" + _DIGITS_13,
-            _GROUPS + r"-[0-9,\-]{2}" + _DIGITS_11,
+            _RUN_AFTER_GROUPS + _GROUPS + r"-[0-9,\-]" + _DIGITS_13,
+            _RUN_AFTER_GROUPS + _GROUPS + r"-[0-9,\-]{2}" + _DIGITS_11,
             _DIGITS_11,
             r"[0-9,\-]{3,6}-[0-9,\-]{2,6}-[0-9,\-]{2,7}",
         )

@@ -2,7 +2,7 @@
 
 The given tables hold few of the numbers the personal-information patterns look for,
 and no Hangul. Queries that need such cells derive them from each row's own key (see
-``_contact`` and ``_story``), so they grow with the table like any other.
+``with_contact`` and ``story``), so they grow with the table like any other.
 """
 
 from __future__ import annotations
@@ -78,11 +78,11 @@ def _contact(key: Column) -> Column:
     )
 
 
-def _with_contact(cell: Column, key: Column) -> Column:
+def with_contact(cell: Column, key: Column) -> Column:
     return F.concat(cell, F.lit("\n"), _contact(key), F.lit("\nend"))
 
 
-def _story(key: Column) -> Column:
+def story(key: Column) -> Column:
     """HTML with Hangul: a sentence to cut, one to drop, and plain ones."""
     return F.format_string(
         "<p>첫 문장 %d 더보기 나머지. 두 번째 더 보기 끝! 뉴스 %d 제보? 본문 %d &middot; 끝.</p>"
@@ -105,7 +105,7 @@ def _documents(cleaner: Cleaner) -> Query:
 def _documents_with_contact(cleaner: Cleaner) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = _cells(spark, sf_dir, "documents", "doc_id", "text")
-        cell = _with_contact(F.col("text"), F.col("doc_id"))
+        cell = with_contact(F.col("text"), F.col("doc_id"))
         return df.select("doc_id", cleaner(cell).alias("text"))
 
     return query
@@ -125,7 +125,7 @@ def _pages(cleaner: Cleaner, name: str = "text") -> Query:
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = _cells(spark, sf_dir, "pages", "page_id", "html")
-        cell = F.concat(F.col("html"), _story(F.col("page_id")))
+        cell = F.concat(F.col("html"), story(F.col("page_id")))
         return df.select("page_id", cleaner(cell).alias(name))
 
     return query
@@ -139,7 +139,7 @@ def _sentences_of_pages(step: Callable[[Column], Column]) -> Query:
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = _cells(spark, sf_dir, "documents", "doc_id", "text")
-        cell = F.concat(F.col("text"), F.lit(" "), _story(F.col("doc_id")))
+        cell = F.concat(F.col("text"), F.lit(" "), story(F.col("doc_id")))
         return df.select("doc_id", over(cell).alias("text"))
 
     return query
@@ -344,7 +344,7 @@ def _has_tag(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Of documents of which every other one ends in HTML, every third in escaped HTML."""
     documents = _cells(spark, sf_dir, "documents", "doc_id", "text")
     key = F.col("doc_id")
-    ending = F.when(key % 2 == 0, _story(key)).when(key % 3 == 0, "&lt;b&gt; x").otherwise(" < b>")
+    ending = F.when(key % 2 == 0, story(key)).when(key % 3 == 0, "&lt;b&gt; x").otherwise(" < b>")
     cell = html.br_to_newline(html.unescape(F.concat("text", ending)))
     return documents.select("doc_id", html.has_element(cell).alias("has_tag"))
 
