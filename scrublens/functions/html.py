@@ -3,7 +3,7 @@
 The chain renders a page the way a Markdown converter would, because the sentence
 filter at its end looks for Markdown's markers: a sentence glued to a heading, a
 bullet, bold text or a link is dropped with it. Only the markers and the reading
-order matter; wrapping, list numbering, table rulers and escapes are not imitated.
+order matter; wrapping, escapes and the indents of nested blocks are not imitated.
 """
 
 from __future__ import annotations
@@ -128,6 +128,9 @@ _LINK = (
     r"((?:[^<]++|<(?!/?a\b))*+)</a\s*+>"
 )
 
+_LIST_TAG = r"(?i)</?(?:ol|ul|li)\b[^<>]*+>"
+_CELL_TAG = r"(?i)<t[dh]\b[^<>]*+>"
+
 _CHARREF = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 _CHARREF_HEAD = r"&[^\t\n\f <&;]"
 _FIELD, _ENTRY = "\x02", "\x01"
@@ -141,11 +144,10 @@ def unescape(text: Column) -> Column:
     names = _names()
 
     def decode_all(cell: Column) -> Column:
-        literal = F.split(cell, _CHARREF, -1)
         refs = F.regexp_extract_all(cell, F.lit(_CHARREF), F.lit(0))
         decoded = F.transform(refs, lambda ref: _decode_ref(ref, names))
-        pairs = F.zip_with(literal, decoded, lambda s, d: F.concat(s, F.coalesce(d, F.lit(""))))
-        return F.when(cell.rlike(_CHARREF_HEAD), F.array_join(pairs, "")).otherwise(cell)
+        replaced = _interleave(F.split(cell, _CHARREF, -1), decoded)
+        return F.when(cell.rlike(_CHARREF_HEAD), replaced).otherwise(cell)
 
     return _where_held(text, ["&"], decode_all)
 
@@ -171,13 +173,15 @@ def strip_tags(text: Column) -> Column:
     text = _where_held(text, ["://"], lambda cell: F.regexp_replace(cell, _SELF_LINK, "$2"))
     text = F.regexp_replace(text, _LINK, r"[$4]($1$2$3)")
 
+    def lay_out(cell: Column) -> Column:
+        laid_out = bind(_number_lists(cell), _rule_tables)
+        return F.when(cell.rlike(r"(?i)<(?:ol|table)\b"), laid_out).otherwise(cell)
+
     def mark_all(cell: Column) -> Column:
-        words = F.split(cell, _TAG, -1)
         marks = F.transform(F.regexp_extract_all(cell, F.lit(_TAG), F.lit(0)), _tag_marker)
-        pairs = F.zip_with(words, marks, lambda w, m: F.concat(w, F.coalesce(m, F.lit(""))))
-        return F.array_join(pairs, "")
+        return _interleave(F.split(cell, _TAG, -1), marks)
 
-    return unescape(bind(text, mark_all))
+    return unescape(bind(bind(text, lay_out), mark_all))
 
 
 def delete_urls(text: Column) -> Column:
@@ -268,20 +272,80 @@ def _delete_tokens(text: Column, start: str, end: str) -> Column:
     return _where_held(text, ["<", ">", start, end], without)
 
 
+def _interleave(between: Column, replacements: Column) -> Column:
+    """Put a text split at a pattern together again, with the matches replaced."""
+    pairs = F.zip_with(between, replacements, lambda b, r: F.concat(b, F.coalesce(r, F.lit(""))))
+    return F.array_join(pairs, "")
+
+
+def _number_lists(cell: Column) -> Column:
+    """Bullets for the items of ``<ul>``, numbers for those of ``<ol>``, by a fold over
+    the list tags with the stack of open lists: the last number given, or the bullet."""
+    bullet = F.lit(-(2**31))
+
+    def step(state: Column, tag: Column) -> Column:
+        name = F.lower(F.regexp_extract(tag, "^<(/?[A-Za-z]+)", 1))
+        lists = state["lists"]
+        last = F.get(lists, F.size(lists) - 1)
+        outer = F.slice(lists, F.lit(1), F.greatest(F.size(lists) - 1, F.lit(0)))
+        first = F.coalesce(_attribute(tag, "start").try_cast("int"), F.lit(1))
+        numbered = (name == "li") & (last > bullet)
+        now = (
+            F.when(name == "ol", F.concat(lists, F.array(first - 1)))
+            .when(name == "ul", F.concat(lists, F.array(bullet)))
+            .when(name.isin("/ol", "/ul"), outer)
+            .when(numbered, F.concat(outer, F.array(last + 1)))
+            .otherwise(lists)
+        )
+        mark = (
+            F.when(numbered, F.concat(F.lit(" "), (last + 1).cast("string"), F.lit(". ")))
+            .when(name == "li", F.lit(TAG_MARKERS["li"]))
+            .otherwise(F.lit(" "))
+        )
+        marks = F.concat(state["marks"], F.array(mark))
+        return F.struct(now.alias("lists"), marks.alias("marks"))
+
+    start = F.from_json(
+        F.lit('{"lists": [], "marks": []}'), "lists array<int>, marks array<string>"
+    )
+    tags = F.regexp_extract_all(cell, F.lit(_LIST_TAG), F.lit(0))
+    marks = F.aggregate(tags, start, step, lambda state: state["marks"])
+    return _interleave(F.split(cell, _LIST_TAG, -1), marks)
+
+
+def _rule_tables(cell: Column) -> Column:
+    """Bars between the cells of a table row, a ruler below the first row."""
+
+    def rule_row(row: Column, index: Column) -> Column:
+        cells = F.split(row, _CELL_TAG, -1)
+        count = F.size(cells) - 1
+        barred = F.concat(cells[0], F.lit(" "), F.array_join(F.slice(cells, 2, count), "| "))
+        ruler = F.concat(
+            F.lit(" "), F.array_join(F.array_repeat(F.lit("---"), count), "|"), F.lit(" ")
+        )
+        is_head = (index == 0) & row.rlike(r"(?i)</tr>\z")
+        line = F.when(count > 0, barred).otherwise(row)
+        return F.concat(line, F.when(is_head, ruler).otherwise(F.lit("")))
+
+    def rule_table(piece: Column) -> Column:
+        ruled = F.array_join(F.transform(F.split(piece, "(?i)(?<=</tr>)", -1), rule_row), "")
+        return F.when(piece.rlike(r"\A(?i)<table\b"), ruled).otherwise(piece)
+
+    return F.array_join(F.transform(F.split(cell, r"(?i)(?=<table\b)", -1), rule_table), "")
+
+
 def _tag_marker(tag: Column) -> Column:
     name = F.lower(F.regexp_extract(tag, "^</?([A-Za-z][A-Za-z0-9]*)", 1))
     key = F.concat(F.when(F.startswith(tag, F.lit("</")), F.lit("/")).otherwise(F.lit("")), name)
     marker = F.coalesce(F.element_at(_literal_map(TAG_MARKERS), key), F.lit(""))
-    image = F.concat(
-        F.lit("!["), _attribute(tag, "alt"), F.lit("]("), _attribute(tag, "src"), F.lit(")")
-    )
-    shows_image = (name == "img") & (_attribute(tag, "src") != "")
-    return F.when(shows_image, image).otherwise(marker)
+    source = _attribute(tag, "src")
+    image = F.concat(F.lit("!["), _attribute(tag, "alt"), F.lit("]("), source, F.lit(")"))
+    return F.when((name == "img") & (source != ""), image).otherwise(marker)
 
 
 def _attribute(tag: Column, name: str) -> Column:
-    value = rf"""(?i)\s{name}\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))"""
-    return F.concat(*(F.regexp_extract(tag, value, group) for group in (1, 2, 3)))
+    value = rf"""(?i)\s{name}\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s"'>]++)"""
+    return F.regexp_replace(F.regexp_extract(tag, value, 1), "^[\"']|[\"']$", "")
 
 
 def _decode_ref(ref: Column, names: Column) -> Column:

@@ -58,6 +58,17 @@ def test_has_element(apply):
         ("a < b, c <d", "a < b, c <d"),
         ("<p>&lt;x&gt;</p>", " <x> "),
         ("f<span>o</span>o", "foo"),
+        ("<ol><li>a</li><li>b</li></ol>", "  1. a  2. b  "),
+        ("<OL START='5'><LI>a<LI>b</OL>", "  5. a 6. b "),
+        (
+            "<ol><li>a<ul><li>x</ul><li>b<ol start=x><li>y</ol><li>c</ol><ul><li>z</ul><li>w",
+            "  1. a  * x  2. b  1. y  3. c   * z  * w",
+        ),
+        (
+            "<table><tr><th>a</th><th>b</th></tr><tr><td>c</td><td>d</td></tr></table>e",
+            "   a| b  ---|---   c| d  e",
+        ),
+        ("<TABLE class=x><TR><TD>a</TR></TABLE>b<table><tr><td>c", "   a  ---  b   c"),
     ],
 )
 def test_strip_tags(apply, cell, expected):
@@ -152,5 +163,7 @@ def test_long_cells(apply):
         "<!--" * 100_000,
         "/a" * 300_000,
         "<p>" + "word " * 200_000,
+        "<ol>" + "<li>x" * 10_000,
+        "<table>" + "<tr><td>x<td>y</tr>" * 50_000,
     ]
     assert len(apply(ops.html_to_text, cells)) == len(cells)
