@@ -47,7 +47,7 @@ def clean_columns(
     such as the id column. Columns of other types, and strings inside arrays, structs
     or maps, pass through.
     """
-    _require(df, [spec.origin for spec in columns])
+    require_columns(df, [spec.origin for spec in columns])
     targets = None if only is None else set(only)
     exempt = set(skip)
 
@@ -80,7 +80,8 @@ def resolve_id(before: DataFrame, after: DataFrame, id_col: str = "id") -> str:
     raise ValueError(f"neither {id_col!r} nor {FALLBACK_ID!r} is a column of both tables")
 
 
-def _require(df: DataFrame, names: Iterable[str]) -> None:
+def require_columns(df: DataFrame, names: Iterable[str]) -> None:
+    """Raise if a name is not a column of ``df``."""
     missing = [name for name in names if name not in df.columns]
     if missing:
         raise ValueError(f"no such columns: {missing}; the table has {df.columns}")

@@ -13,24 +13,27 @@ are not shuffled.
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from scrublens.operators.columns import column
+from scrublens.operators.columns import column, require_columns
+from scrublens.operators.tables import row_bytes
 
 # The most changed ids to hold on the driver and broadcast. Beyond it the tables are
 # joined whole, with the same result.
 FEW_IDS = 100_000
 
-_SHORT = 48  # bytes; below the 64 of a digest, so the two kinds of key never meet
+_SHORT = 31  # bytes; below the 32 of a digest, so the two kinds of key never meet
 
 
 def value_key(value: Column, data_type: T.DataType) -> Column:
-    """A string that is equal for equal values: short texts stand for themselves, long
-    ones are replaced by their SHA-256."""
+    """At most 32 bytes that are equal for equal values: short texts stand for
+    themselves, long ones are replaced by their SHA-256."""
     if isinstance(data_type, (T.FloatType, T.DoubleType)):
         value = value + F.lit(0.0).cast(data_type)  # -0.0 equals 0.0
     elif isinstance(data_type, T.TimestampType):
@@ -40,7 +43,8 @@ def value_key(value: Column, data_type: T.DataType) -> Column:
     elif isinstance(data_type, T.BinaryType):
         value = F.hex(value)
     text = value.cast("string")
-    return F.when(F.octet_length(text) <= _SHORT, text).otherwise(F.sha2(text, 256))
+    is_short = F.octet_length(text) <= _SHORT
+    return F.when(is_short, text.cast("binary")).otherwise(F.unhex(F.sha2(text, 256)))
 
 
 def changed_pairs(
@@ -58,7 +62,7 @@ def changed_pairs(
     ``few`` ids, which the key comparison settles without shuffling any text, both
     sides are first reduced to those; otherwise they are joined whole.
     """
-    pairs = _compared(mapping, id_col)
+    pairs = _compared(before, after, mapping, id_col)
     ids = changed_ids(before, after, mapping, id_col, null_safe).limit(few + 1).collect()
     if len(ids) <= few:
         schema = before.select(column(id_col)).schema
@@ -92,33 +96,44 @@ def change_flags(
 ) -> DataFrame:
     """One row per id found on both sides, with a boolean column for each mapped pair,
     named ``<origin>_changed``."""
-    pairs = _compared(mapping, id_col)
-    stacked = _keys(before, id_col, [o for o, _ in pairs], "before").unionByName(
-        _keys(after, id_col, [t for _, t in pairs], "after")
-    )
-    is_before = F.col("side") == "before"
-    measures = [F.max(is_before).alias("in_before"), F.max(~is_before).alias("in_after")]
-    flags = []
-    for i, (origin, _) in enumerate(pairs):
-        key = F.col(f"key_{i}")
-        measures += [F.min(key).alias(f"min_{i}"), F.max(key).alias(f"max_{i}")]
-        several = F.coalesce(F.col(f"min_{i}") != F.col(f"max_{i}"), F.lit(False))
-        if null_safe:
-            measures += [
-                F.max(key.isNull()).alias(f"null_{i}"),
-            ]
-            flag = several | (F.col(f"null_{i}") & F.col(f"min_{i}").isNotNull())
-        else:
-            measures += [
-                F.max(key.isNotNull() & is_before).alias(f"before_{i}"),
-                F.max(key.isNotNull() & ~is_before).alias(f"after_{i}"),
-            ]
-            flag = several & F.col(f"before_{i}") & F.col(f"after_{i}")
-        flags.append(flag.alias(f"{origin}_changed"))
-    per_id = stacked.groupBy(column(id_col)).agg(*measures)
+    pairs = _compared(before, after, mapping, id_col)
+    old = _keys(before.filter(column(id_col).isNotNull()), id_col, [o for o, _ in pairs], "before")
+    new = _keys(after.filter(column(id_col).isNotNull()), id_col, [t for _, t in pairs], "after")
+    per_id = old.unionByName(new).groupBy(column(id_col)).agg(*_measures(pairs, null_safe))
+    flags = [flag.alias(f"{o}_changed") for flag, (o, _) in zip(_flags(pairs, null_safe), pairs)]
     return per_id.filter("in_before AND in_after").select(column(id_col), *flags)
 
 
+def count_and_compare(
+    before: DataFrame, after: DataFrame, mapping: Mapping[str, str], id_col: str
+) -> DataFrame:
+    """One row with the row count and size of both tables and the number of changed
+    ids, from one pass over each: ``source_count, source_size, result_count,
+    result_size, matched_count``. Rows without an id are counted but not compared."""
+    pairs = _compared(before, after, mapping, id_col)
+    old = _keys(before, id_col, [o for o, _ in pairs], "before", row_bytes(before))
+    new = _keys(after, id_col, [t for _, t in pairs], "after", row_bytes(after))
+    totals = []
+    for side in ("before", "after"):
+        ours = F.col("side") == side
+        totals.append(F.count(F.when(ours, 1)).alias(f"rows_{side}"))
+        totals.append(F.sum(F.when(ours, F.col("bytes")).otherwise(0)).alias(f"bytes_{side}"))
+    measures = _measures(pairs, null_safe=True)
+    per_id = old.unionByName(new).groupBy(column(id_col)).agg(*measures, *totals)
+    changed = reduce(operator.or_, _flags(pairs, null_safe=True))
+    matched = column(id_col).isNotNull() & F.col("in_before") & F.col("in_after") & changed
+    sums = {
+        "source_count": "rows_before",
+        "source_size": "bytes_before",
+        "result_count": "rows_after",
+        "result_size": "bytes_after",
+    }
+    return per_id.agg(
+        *(F.coalesce(F.sum(total), F.lit(0)).alias(name) for name, total in sums.items()),
+        F.count_if(matched).alias("matched_count"),
+    )
+
+
 def changed_ids(
     before: DataFrame,
     after: DataFrame,
@@ -128,9 +143,7 @@ def changed_ids(
 ) -> DataFrame:
     """The ids with a change in some mapped column, each once."""
     flags = change_flags(before, after, mapping, id_col, null_safe)
-    changed = F.lit(False)
-    for name in flags.columns[1:]:
-        changed = changed | column(name)
+    changed = reduce(operator.or_, map(column, flags.columns[1:]))
     return flags.filter(changed).select(column(id_col))
 
 
@@ -159,7 +172,7 @@ def changed_rows_per_column(
     for each value, its rows before times its rows after. So counting values per id is
     enough. Counting by (id, column, value) first spreads a repeated id over tasks.
     """
-    pairs = _compared(mapping, id_col)
+    pairs = _compared(before, after, mapping, id_col)
     stacked = _cells(before, [o for o, _ in pairs], "before", id_col).unionByName(
         _cells(after, [t for _, t in pairs], "after", id_col)
     )
@@ -189,7 +202,7 @@ def changed_columns(
     the sets alike. Every column is settled by the same shuffle, in which a value is
     sent once per column and input partition however often it occurs.
     """
-    pairs = _compared(mapping, id_col)
+    pairs = _compared(before, after, mapping, id_col)
     stacked = _cells(before, [o for o, _ in pairs], "before").unionByName(
         _cells(after, [t for _, t in pairs], "after")
     )
@@ -205,14 +218,46 @@ def changed_columns(
     return _per_pair(found, pairs, flags, "differs").filter("differs").select("origin", "target")
 
 
-def _compared(mapping: Mapping[str, str], id_col: str) -> list[tuple[str, str]]:
+def _compared(
+    before: DataFrame, after: DataFrame, mapping: Mapping[str, str], id_col: str
+) -> list[tuple[str, str]]:
     """The mapped pairs without the id column, which identifies rows and is not diffed."""
     pairs = [(o, t) for o, t in mapping.items() if id_col not in (o, t)]
     if not pairs:
         raise ValueError("no column to compare")
+    require_columns(before, [id_col, *(o for o, _ in pairs)])
+    require_columns(after, [id_col, *(t for _, t in pairs)])
     return pairs
 
 
+def _measures(pairs: Sequence[tuple[str, str]], null_safe: bool) -> list[Column]:
+    """What has to be known of an id's rows to tell whether its values changed."""
+    is_before = F.col("side") == "before"
+    measures = [F.max(is_before).alias("in_before"), F.max(~is_before).alias("in_after")]
+    for i in range(len(pairs)):
+        key = F.col(f"key_{i}")
+        measures += [F.min(key).alias(f"min_{i}"), F.max(key).alias(f"max_{i}")]
+        if null_safe:
+            measures.append(F.max(key.isNull()).alias(f"null_{i}"))
+        else:
+            measures.append(F.max(key.isNotNull() & is_before).alias(f"before_{i}"))
+            measures.append(F.max(key.isNotNull() & ~is_before).alias(f"after_{i}"))
+    return measures
+
+
+def _flags(pairs: Sequence[tuple[str, str]], null_safe: bool) -> list[Column]:
+    """For each pair whether some before and some after value of the id differ. Given
+    rows on both sides that is so if their values taken together are not all alike."""
+    flags = []
+    for i in range(len(pairs)):
+        several = F.coalesce(F.col(f"min_{i}") != F.col(f"max_{i}"), F.lit(False))
+        if null_safe:
+            flags.append(several | (F.col(f"null_{i}") & F.col(f"min_{i}").isNotNull()))
+        else:
+            flags.append(several & F.col(f"before_{i}") & F.col(f"after_{i}"))
+    return flags
+
+
 def _suffixed(df: DataFrame, id_col: str, names: list[str], suffix: str) -> DataFrame:
     # An origin may be mapped to one target only, but targets may coincide.
     return df.select(
@@ -220,13 +265,15 @@ def _suffixed(df: DataFrame, id_col: str, names: list[str], suffix: str) -> Data
     )
 
 
-def _keys(df: DataFrame, id_col: str, names: list[str], side: str) -> DataFrame:
+def _keys(
+    df: DataFrame, id_col: str, names: list[str], side: str, size: Column | None = None
+) -> DataFrame:
+    """Id, side and compared keys of each row, and its size if asked for."""
     keys = [
         value_key(column(n), df.schema[n].dataType).alias(f"key_{i}") for i, n in enumerate(names)
     ]
-    return df.filter(column(id_col).isNotNull()).select(
-        column(id_col), F.lit(side).alias("side"), *keys
-    )
+    sizes = [] if size is None else [size.alias("bytes")]
+    return df.select(column(id_col), F.lit(side).alias("side"), *keys, *sizes)
 
 
 def _cells(df: DataFrame, names: list[str], side: str, id_col: str | None = None) -> DataFrame:

@@ -55,9 +55,14 @@ def keep_first_by_key(df: DataFrame, keys: Sequence[str], order_by: str) -> Data
     )
 
 
-def _total_bytes(df: DataFrame) -> Column:
-    row_bytes = F.lit(0)
+def row_bytes(df: DataFrame) -> Column:
+    """UTF-8 bytes of the row's values written as text."""
+    total = F.lit(0).cast("long")
     for name in df.columns:
         text = column(name).cast("string")
-        row_bytes = row_bytes + F.coalesce(F.octet_length(text).cast("long"), F.lit(0))
-    return F.coalesce(F.sum(row_bytes), F.lit(0)).cast("long")
+        total = total + F.coalesce(F.octet_length(text).cast("long"), F.lit(0))
+    return total
+
+
+def _total_bytes(df: DataFrame) -> Column:
+    return F.coalesce(F.sum(row_bytes(df)), F.lit(0))

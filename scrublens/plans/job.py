@@ -182,20 +182,17 @@ def run_job(spark: SparkSession, spec: JobSpec, on_error: str = "raise") -> JobR
 def job_metrics(source: DataFrame, output: DataFrame, spec: JobSpec) -> DataFrame:
     """One row: output columns, row counts and sizes of both tables, the number of
     changed ids, and the status."""
-    parts = [
-        tables.count_and_size(source).toDF("source_count", "source_size"),
-        tables.count_and_size(output).toDF("result_count", "result_size"),
-    ]
     id_col = resolve_id(source, output, spec.id_col) if spec.mapping else None
     mapping = {o: t for o, t in spec.mapping.items() if id_col not in (o, t)}
     if mapping:
-        parts.append(diff.matched_count(source, output, mapping, id_col))
-    stacked = parts[0]
-    for part in parts[1:]:
-        stacked = stacked.unionByName(part, allowMissingColumns=True)
-    if not mapping:
-        stacked = stacked.withColumn("matched_count", F.lit(0).cast("long"))
-    return stacked.agg(*(F.max(name).alias(name) for name in _MEASURES)).select(
+        measured = diff.count_and_compare(source, output, mapping, id_col)
+    else:
+        before = tables.count_and_size(source).toDF("source_count", "source_size")
+        after = tables.count_and_size(output).toDF("result_count", "result_size")
+        both = before.unionByName(after, allowMissingColumns=True)
+        measured = both.agg(*(F.max(name).alias(name) for name in both.columns))
+        measured = measured.withColumn("matched_count", F.lit(0).cast("long"))
+    return measured.select(
         F.array(*(F.lit(c.name) for c in spec.columns)).alias("columns"),
         *_MEASURES,
         F.lit("ok").alias("status"),

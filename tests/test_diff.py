@@ -89,10 +89,27 @@ def test_id_is_not_compared(sides):
     assert ids(diff.changed_ids(before, after, {"id": "id", "t": "t2"}, "id")) == [1]
 
 
+def test_unknown_columns(sides):
+    with pytest.raises(ValueError, match="nope"):
+        diff.changed_ids(*sides, {"nope": "t2"}, "id")
+    with pytest.raises(ValueError, match="nope"):
+        diff.changed_columns(*sides, {"t": "nope"}, "id")
+
+
+def test_count_and_compare(sides):
+    before, after = sides
+    row = diff.count_and_compare(before, after, MAPPING, "id").first()
+    sizes = [sum(len(str(v)) for r in df.collect() for v in r if v is not None) for df in sides]
+    assert tuple(row) == (6, sizes[0], 6, sizes[1], 3)
+    empty = diff.count_and_compare(before.limit(0), after.limit(0), MAPPING, "id").first()
+    assert tuple(empty) == (0, 0, 0, 0, 0)
+
+
 def test_empty_tables(sides):
     before, after = (df.limit(0) for df in sides)
     assert diff.matched_count(before, after, MAPPING, "id").first()[0] == 0
-    assert [r.changed_rows for r in diff.changed_rows_per_column(before, after, MAPPING, "id").collect()] == [0, 0, 0]
+    counts = diff.changed_rows_per_column(before, after, MAPPING, "id").collect()
+    assert [r.changed_rows for r in counts] == [0, 0, 0]
     assert diff.changed_columns(before, after, MAPPING, "id").count() == 0
 
 
