@@ -78,12 +78,12 @@ ACCOUNT = Pattern(
     + ")",
 )
 
-# A match can only start at the head of a run of these characters or right after
-# the match before (\G): no start inside a run can succeed where its head failed.
-# Without that, a long run with no "@" would be rescanned from each position.
+# A match cannot start inside a run of these characters, unless right after the match
+# before (\G): no start inside a run can succeed where its head failed. Without that, a
+# long run with no "@" would be rescanned from each position.
 EMAIL = Pattern(
     "email",
-    r"(?:\G|(?<![a-z0-9.\-+_]))[a-z0-9.\-+_]++@[a-z0-9.\-+_]+\.[a-z]+",
+    r"(?!(?<=[a-z0-9.\-+_])(?!\G))[a-z0-9.\-+_]++@[a-z0-9.\-+_]+\.[a-z]+",
     needs="@",
 )
 
