@@ -51,4 +51,5 @@ def blank_outlier(text: Column, shortest: int, longest: int) -> Column:
 def _class_body(characters: Iterable[str]) -> str:
     """The characters as literals inside a regex class."""
     listed = "".join(dict.fromkeys("".join(characters)))
-    return re.sub(r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]", lambda m: f"\\x{ord(m[0]):02X}", listed)
+    ascii_symbol = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]"
+    return re.sub(ascii_symbol, lambda match: f"\\x{ord(match[0]):02X}", listed)

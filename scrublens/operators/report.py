@@ -68,7 +68,7 @@ def _collect_changed(
     """The changed pairs in mapping order; at most one row for each mapped column."""
     if all(id_col in pair for pair in mapping.items()):
         return []
-    found = {(r.origin, r.target) for r in changed_columns(before, after, mapping, id_col).collect()}
+    found = {tuple(row) for row in changed_columns(before, after, mapping, id_col).collect()}
     return [pair for pair in mapping.items() if pair in found]
 
 

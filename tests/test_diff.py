@@ -5,7 +5,10 @@ import random
 
 import pytest
 
+from scrublens.functions.text import clean_space
 from scrublens.operators import diff, report
+from scrublens.operators.columns import clean_columns, keep_all
+from tests.conftest import SF_DIR
 from tests.test_plans import plan_of
 
 LONG = "long " * 40
@@ -193,6 +196,17 @@ def test_report(sides):
     assert [r.id for r in only] == [1, 2, 5]
 
 
+def test_report_holds_the_changed_ids(spark):
+    """Over given documents: the ids of the report of changes are the changed ids."""
+    documents = spark.read.parquet(f"{SF_DIR}/documents.parquet").select("doc_id", "text", "lang")
+    after = clean_columns(documents, keep_all(documents), clean_space)
+    names = {"text": "text", "lang": "lang"}
+    changed = {r.doc_id for r in diff.changed_ids(documents, after, names, "doc_id").collect()}
+    lines = report.change_report(documents, after, names, "doc_id", only_changed=True)
+    assert {r.doc_id for r in lines.collect()} == changed
+    assert 0 < len(changed) <= documents.count()
+
+
 def test_report_shows_changed_columns_only(spark):
     before = spark.createDataFrame([(2, "a", "k"), (1, "b", "k")], "id int, t string, k string")
     after = spark.createDataFrame([(1, "b", "k"), (2, "A", "k")], "id int, t string, k string")
