@@ -60,13 +60,14 @@ def changed_pairs(
 
     The rows are the result here, so this ends in a join. If cleaning touched at most
     ``few`` ids, which the key comparison settles without shuffling any text, both
-    sides are first reduced to those; otherwise they are joined whole.
+    sides are first reduced to those; otherwise, and with ids of types other than
+    text, whole number, decimal and date, they are joined whole.
     """
     pairs = _compared(before, after, mapping, id_col)
-    ids = changed_ids(before, after, mapping, id_col, null_safe).limit(few + 1).collect()
-    if len(ids) <= few:
-        schema = before.select(column(id_col)).schema
-        hits = F.broadcast(before.sparkSession.createDataFrame(ids, schema))
+    ids = changed_ids(before, after, mapping, id_col, null_safe)
+    found = ids.limit(few + 1).collect() if survives_python(ids.schema[0].dataType) else None
+    if found is not None and len(found) <= few:
+        hits = F.broadcast(before.sparkSession.createDataFrame(found, ids.schema))
         before = before.join(hits, on=id_col, how="left_semi")
         after = after.join(hits, on=id_col, how="left_semi")
     differs = F.lit(False)
@@ -76,6 +77,12 @@ def changed_pairs(
     return join_sides(before, after, pairs, id_col).filter(differs)
 
 
+def survives_python(id_type: T.DataType) -> bool:
+    """Whether ids may pass through the driver. A timestamp may not: in the hour that
+    clocks repeat in autumn it would come back as another."""
+    return isinstance(id_type, (T.StringType, T.IntegralType, T.DecimalType, T.DateType))
+
+
 def join_sides(
     before: DataFrame, after: DataFrame, pairs: Sequence[tuple[str, str]], id_col: str
 ) -> DataFrame:

@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from scrublens.operators.columns import column
-from scrublens.operators.diff import FEW_IDS, changed_columns, changed_pairs, join_sides
+from scrublens.operators.diff import (
+    FEW_IDS,
+    changed_columns,
+    changed_pairs,
+    join_sides,
+    survives_python,
+)
 
 
 def change_report(
@@ -55,9 +61,15 @@ def preview(
     ids = before.select(column(id_col)).join(
         after.select(column(id_col)), on=id_col, how="left_semi"
     )
-    first = [row[0] for row in ids.distinct().orderBy(column(id_col)).limit(rows).collect()]
-    listed = column(id_col).isin(first)
-    lines = join_sides(before.filter(listed), after.filter(listed), changed, id_col)
+    first = ids.distinct().orderBy(column(id_col)).limit(rows)
+    if survives_python(ids.schema[0].dataType):
+        listed = column(id_col).isin([row[0] for row in first.collect()])
+        old, new = before.filter(listed), after.filter(listed)
+    else:
+        old, new = (
+            df.join(F.broadcast(first), on=id_col, how="left_semi") for df in (before, after)
+        )
+    lines = join_sides(old, new, changed, id_col)
     top = lines.orderBy(column(id_col)).limit(rows)
     return top.select(*(_cut(top, name, width) for name in top.columns))
 

@@ -224,6 +224,25 @@ def test_preview(spark):
     assert report.preview(before, after, {"t": "t"}, "id").count() == 20
 
 
+@pytest.mark.parametrize("id_type", ["timestamp", "date", "string", "decimal(20,2)", "double"])
+def test_id_types(spark, id_type):
+    """Also the two instants that a clock in New York shows alike."""
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        base = spark.range(6).selectExpr("id AS n", "concat('t', id) AS t")
+        instants = "timestamp_seconds(1604206800 + n * 1800)"  # 2020-11-01T05:00Z on
+        made = {"timestamp": instants, "date": "date_add(date'2020-01-01', cast(n AS int))"}
+        made_id = made.get(id_type, f"cast(n AS {id_type})")
+        before = base.selectExpr(f"{made_id} AS id", "t")
+        after = before.selectExpr("id", "if(t = 't4', t, 'x') AS t")
+        lines = report.change_report(before, after, {"t": "t"}, "id", only_changed=True)
+        assert [r.t_before for r in lines.collect()] == ["t0", "t1", "t2", "t3", "t5"]
+        shown = report.preview(before, after, {"t": "t"}, "id", rows=4)
+        assert [r.t_before for r in shown.collect()] == ["t0", "t1", "t2", "t3"]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_one_shuffle_by_id(sides):
     plan = plan_of(diff.matched_count(*sides, MAPPING, "id"))
     assert "Join" not in plan
