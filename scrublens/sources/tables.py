@@ -34,11 +34,12 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Give a small table one partition per core, by hash of ``keys``.
 
     A file with a single row group is read by one task, however many cores wait for
-    the text work behind it. Larger tables have enough row groups and stay as they are.
+    the text work behind it. Tables that are larger, or have a file for each core, stay
+    as they are.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size > SMALL_TABLE_BYTES:
+    if size > SMALL_TABLE_BYTES or len(df.inputFiles()) >= cores:
         return df
     return df.repartition(cores, *keys)
 

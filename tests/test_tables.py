@@ -123,6 +123,13 @@ def test_spread_small_tables_only(spark, monkeypatch):
     assert spread(df).rdd.getNumPartitions() == 1
 
 
+def test_spread_leaves_enough_files(spark):
+    path = scratch_path(spark)
+    write_table(spark.range(100).repartition(4), path)
+    df = read_table(spark, path)
+    assert spread(df, "id") is df
+
+
 def test_functions_work_on_streams(spark):
     """Cleaners are stateless, so they apply to a streaming table as they are."""
     path = scratch_path(spark)
