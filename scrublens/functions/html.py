@@ -88,10 +88,10 @@ _TAIL_EDGE = f"(?:(?<![{WORD}])(?=[{WORD}])|(?<=[{WORD}])(?![{WORD}]))"
 # Whatever matches has a dot or colon as its first character outside this class;
 # the look-ahead rules out plain words before the alternatives are tried.
 _URL_HEAD = r"(?=[\p{Nd}a-zA-F\-]*+[.:])"
-URL = (
-    f"{_HEAD_EDGE}{_URL_HEAD}(?:https?://)?(?:{_HOST}|{_IPV4}|(?:{_IPV6}))"
-    f"(?:{_PORT})?{_PATH}{_TAIL_EDGE}"
-)
+URL = f"{_URL_HEAD}(?:https?://)?(?:{_HOST}|{_IPV4}|(?:{_IPV6}))(?:{_PORT})?{_PATH}{_TAIL_EDGE}"
+# A long run that the look-ahead rules out is stepped over as a whole (and kept), lest it
+# be looked through again from each of its hyphens.
+_URL_OR_RUN = rf"{_HEAD_EDGE}(?:{URL}|([\p{{Nd}}a-zA-F\-]{{64,}}+(?![.:])))"
 
 # Markdown markers by tag name; a closing tag has a leading "/". Tags that are not
 # listed vanish. A blank stands where a block begins or ends.
@@ -187,7 +187,7 @@ def strip_tags(text: Column) -> Column:
 def delete_urls(text: Column) -> Column:
     """Delete web addresses: host names, IPv4 and IPv6, with port and path. A query
     string is not part of the match, nor is a trailing ``/``."""
-    return F.regexp_replace(text, URL, "")
+    return F.regexp_replace(text, _URL_OR_RUN, "$1")
 
 
 def delete_emails(text: Column) -> Column:

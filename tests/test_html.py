@@ -101,6 +101,9 @@ def test_urls_like_plain(apply):
     rng = random.Random(8)
     cells = ["".join(rng.choices(URL_PIECES, k=rng.randint(1, 9))) for _ in range(6000)]
     cells += strings(1500, seed=9, alphabet="ab1f:./-é 가_%", longest=30)
+    # Runs too long to be looked at from each hyphen, with something before and after.
+    runs = strings(300, seed=12, alphabet="ab1F-", longest=150)
+    cells += [f"{rng.choice(URL_PIECES)}{r}{''.join(rng.choices(URL_PIECES, k=3))}" for r in runs]
     assert apply(ops.delete_urls, cells) == [plain.URL.sub("", c) for c in cells]
 
 
@@ -163,6 +166,7 @@ def test_long_cells(apply):
         "<!--" * 100_000,
         "/a" * 300_000,
         "<p>" + "word " * 200_000,
+        "<p>" + "a-" * 500_000,
         "<ol>" + "<li>x" * 10_000,
         "<table>" + "<tr><td>x<td>y</tr>" * 50_000,
     ]
