@@ -87,6 +87,8 @@ EMAIL = Pattern(
     needs="@",
 )
 
+NUMBER_PATTERNS = (CARD, ACCOUNT, PHONE, RESIDENT_NO)
+
 # The order in which a chain applies them.
 ALL_PATTERNS = (CARD, ACCOUNT, PHONE, RESIDENT_NO, EMAIL)
 # ----------------------------------------------------------------------------
@@ -94,7 +96,9 @@ ALL_PATTERNS = (CARD, ACCOUNT, PHONE, RESIDENT_NO, EMAIL)
 
 def delete_matches(text: Column, patterns: Sequence[Pattern] = ALL_PATTERNS) -> Column:
     """For each match found, delete every literal occurrence of the matched string."""
-    return _fold_patterns(text, patterns, lambda hit: F.lit(""), strict=False)
+    for pattern in patterns:
+        text = bind(text, _rewriter(pattern, lambda hits: hits, lambda hit: F.lit("")))
+    return text
 
 
 def mask_matches(
@@ -107,9 +111,20 @@ def mask_matches(
     the longer one stays readable. ``strict`` takes the longest matches first, which
     masks both.
     """
-    return _fold_patterns(
-        text, patterns, lambda hit: F.regexp_replace(hit, f"[{WORD}]", "#"), strict
-    )
+
+    def worth_masking(hits: Column) -> Column:
+        # A run of hyphens is an account number to the pattern; masking leaves it as it is.
+        hits = F.filter(hits, lambda hit: hit.rlike(f"[{WORD}]"))
+        if not strict:
+            return hits
+        return F.array_sort(hits, lambda a, b: F.length(b) - F.length(a))
+
+    def masked(hit: Column) -> Column:
+        return F.regexp_replace(hit, f"[{WORD}]", "#")
+
+    for pattern in patterns:
+        text = bind(text, _rewriter(pattern, worth_masking, masked))
+    return text
 
 
 def delete_lines(text: Column, patterns: Sequence[Pattern] = ALL_PATTERNS) -> Column:
@@ -128,36 +143,36 @@ def delete_lines(text: Column, patterns: Sequence[Pattern] = ALL_PATTERNS) -> Co
 
 
 def _any_match(patterns: Sequence[Pattern]) -> Callable[[Column], Column]:
-    """Whether some pattern matches. Those that begin with a digit or a character of a
-    digit group share a scan."""
-    numeric = [p.regex for p in patterns if p is not EMAIL]
-    tests: list[Callable[[Column], Column]] = []
-    if numeric:
-        regex = r"(?=[0-9,\-])(?:" + "|".join(numeric) + ")"
-        tests.append(lambda cell: cell.rlike(regex))
-    if EMAIL in patterns:
-        tests.append(lambda cell: F.contains(cell, F.lit("@")) & cell.rlike(EMAIL.regex))
-    return lambda cell: reduce(operator.or_, (test(cell) for test in tests))
-
-
-def _fold_patterns(
-    text: Column, patterns: Sequence[Pattern], swap: Callable[[Column], Column], strict: bool
-) -> Column:
-    for pattern in patterns:
-        text = bind(text, _rewriter(pattern, swap, strict))
-    return text
+    """Whether some pattern matches. The number patterns, all of which begin with a digit
+    or another character of a digit group, share a scan."""
+    numbers = [p.regex for p in patterns if p in NUMBER_PATTERNS]
+    shared = r"(?=[0-9,\-])(?:" + "|".join(numbers) + ")"
+
+    def found(cell: Column) -> Column:
+        tests = [cell.rlike(shared)] if numbers else []
+        for pattern in patterns:
+            if pattern not in NUMBER_PATTERNS:
+                test = cell.rlike(pattern.regex)
+                tests.append(_holds(cell, pattern) & test if pattern.needs else test)
+        return reduce(operator.or_, tests, F.lit(False))
+
+    return found
+
+
+def _holds(cell: Column, pattern: Pattern) -> Column:
+    return F.contains(cell, F.lit(pattern.needs))
 
 
 def _rewriter(
-    pattern: Pattern, swap: Callable[[Column], Column], strict: bool
+    pattern: Pattern, select: Callable[[Column], Column], swap: Callable[[Column], Column]
 ) -> Callable[[Column], Column]:
+    """Replace every literal occurrence of each selected match, one match after another."""
+
     def rewrite(cell: Column) -> Column:
-        hits = F.regexp_extract_all(cell, F.lit(pattern.regex), F.lit(0))
-        if strict:
-            hits = F.array_sort(hits, lambda a, b: F.length(b) - F.length(a))
+        hits = select(F.regexp_extract_all(cell, F.lit(pattern.regex), F.lit(0)))
         swapped = F.aggregate(hits, cell, lambda done, hit: F.replace(done, hit, swap(hit)))
         if pattern.needs is None:
             return swapped
-        return F.when(F.contains(cell, F.lit(pattern.needs)), swapped).otherwise(cell)
+        return F.when(_holds(cell, pattern), swapped).otherwise(cell)
 
     return rewrite

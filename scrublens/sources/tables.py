@@ -48,7 +48,8 @@ def scratch_path(spark: SparkSession) -> str:
     """A fresh path for a table written along the way.
 
     On a cluster it lies in the shared folder named by ``spark.checkpoint.dir``; a
-    local session without that setting uses a temporary folder.
+    local session without that setting uses a temporary folder. Removing the table is
+    left to whoever clears that folder, as long as frames that read it are in use.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if shared is None:
