@@ -77,6 +77,21 @@ def changed_pairs(
     return join_sides(before, after, pairs, id_col).filter(differs)
 
 
+def joined_rows(before: DataFrame, after: DataFrame, id_col: str) -> DataFrame:
+    """One row: how many ``rows`` with an id the two tables hold together, and how many
+    ``pairs`` their join on it gives. Reads nothing but the ids and joins nothing."""
+    ids = column(id_col)
+    old = before.select(ids, F.lit(1).alias("b"), F.lit(0).alias("a"))
+    new = after.select(ids, F.lit(0).alias("b"), F.lit(1).alias("a"))
+    stacked = old.unionByName(new).filter(ids.isNotNull())
+    per_id = stacked.groupBy(ids).agg(F.sum("b").alias("b"), F.sum("a").alias("a"))
+    none = F.lit(0)
+    return per_id.agg(
+        F.coalesce(F.sum(F.col("b") + F.col("a")), none).alias("rows"),
+        F.coalesce(F.sum(_product("b", "a")), none).alias("pairs"),
+    )
+
+
 def survives_python(id_type: T.DataType) -> bool:
     """Whether ids may pass through the driver. A timestamp may not: in the hour that
     clocks repeat in autumn it would come back as another."""

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -14,9 +14,13 @@ from scrublens.operators.diff import (
     changed_columns,
     changed_pairs,
     join_sides,
+    joined_rows,
     survives_python,
 )
 
+# A report may have this many lines for each row of the tables before it is refused.
+FAN_OUT = 10
+
 
 def change_report(
     before: DataFrame,
@@ -25,16 +29,28 @@ def change_report(
     id_col: str,
     only_changed: bool = False,
     few: int = FEW_IDS,
+    fan_out: int | None = FAN_OUT,
 ) -> DataFrame | None:
     """``id, a_before, a_after, ...`` for the changed columns, ordered by id; None if no
     column changed.
 
     Every matched id is listed, changed or not, unless ``only_changed``. Which columns
     changed is settled first, by their value sets, since it decides the layout.
+
+    An id is meant to name one row. One that repeats on both sides has a line for each
+    pair of its rows. If that would make more than ``fan_out`` lines for each row of the
+    tables, no report is begun but a ``ValueError`` raised; None switches this off.
     """
     changed = _collect_changed(before, after, mapping, id_col)
     if not changed:
         return None
+    if fan_out is not None:
+        size = joined_rows(before, after, id_col).first()
+        if size.pairs > fan_out * size.rows:
+            raise ValueError(
+                f"{id_col!r} does not identify rows: {size.rows} rows would make "
+                f"{size.pairs} report lines; changed_ids and matched_count do not pair rows"
+            )
     if only_changed:
         rows = changed_pairs(before, after, dict(changed), id_col, few=few)
     else:
@@ -69,11 +85,21 @@ def preview(
         old, new = (
             df.join(F.broadcast(first), on=id_col, how="left_semi") for df in (before, after)
         )
+    old = _at_most(rows, old, id_col, [origin for origin, _ in changed])
+    new = _at_most(rows, new, id_col, [target for _, target in changed])
     lines = join_sides(old, new, changed, id_col)
     top = lines.orderBy(column(id_col)).limit(rows)
     return top.select(*(_cut(top, name, width) for name in top.columns))
 
 
+def _at_most(rows: int, df: DataFrame, id_col: str, names: Sequence[str]) -> DataFrame:
+    """No more rows of an id than a preview has lines; more could not show in it."""
+    same_id = Window.partitionBy(column(id_col)).orderBy(*map(column, names))
+    ranked = df.select(column(id_col), *map(column, dict.fromkeys(names)))
+    numbered = ranked.withColumn("_row", F.row_number().over(same_id))
+    return numbered.filter(F.col("_row") <= rows).drop("_row")
+
+
 def _collect_changed(
     before: DataFrame, after: DataFrame, mapping: Mapping[str, str], id_col: str
 ) -> Sequence[tuple[str, str]]:

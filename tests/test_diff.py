@@ -186,6 +186,24 @@ def test_hot_id_stays_linear(spark):
     assert diff.matched_count(before, after, {"t": "t"}, "id").first()[0] == 1
 
 
+def test_hot_id_in_reports(spark):
+    """A preview of it is cheap, its report refused; a few repeats are paired."""
+    from pyspark.sql import functions as F
+
+    before = spark.range(50_000).select(F.lit(7).alias("id"), F.col("id").cast("string").alias("t"))
+    after = before.withColumn("t", F.concat("t", F.lit("!")))
+    assert diff.joined_rows(before, after, "id").first().pairs == 50_000**2
+    assert report.preview(before, after, {"t": "t"}, "id").count() == 20
+    for only_changed in (False, True):
+        with pytest.raises(ValueError, match="does not identify rows"):
+            report.change_report(before, after, {"t": "t"}, "id", only_changed)
+    few, few_after = before.limit(30), after.limit(30)
+    with pytest.raises(ValueError, match="900 report lines"):
+        report.change_report(few, few_after, {"t": "t"}, "id")
+    assert report.change_report(few, few_after, {"t": "t"}, "id", fan_out=None).count() == 900
+    assert report.change_report(few.limit(9), few_after.limit(9), {"t": "t"}, "id").count() == 81
+
+
 def test_report(sides):
     rows = report.change_report(*sides, MAPPING, "id").collect()
     assert [r.id for r in rows] == [1, 2, 3, 5]
