@@ -40,11 +40,15 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, group_rows: int | None = None) -> DataFrame:
     """``df`` as a table in the shared folder. Cuts the lineage: what was written does not
-    depend on executors that ran it, and later steps read it again at the cost of a scan."""
+    depend on executors that ran it, and later steps read it again at the cost of a scan.
+    For wide rows, ``group_rows`` bounds the rows that a reader holds at once."""
     path = f"{shared_folder(df.sparkSession)}/table"
-    df.write.option("compression", "zstd").parquet(path)
+    writer = df.write.option("compression", "zstd")
+    if group_rows:
+        writer = writer.option("parquet.block.row.count.limit", group_rows)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

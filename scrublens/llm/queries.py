@@ -9,9 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scrublens.llm import (
+    chat,
     decontamination,
     exact_dedup,
+    html_extract,
     language_id,
+    lm_scoring,
     packing,
     simhash,
     url_filter,
@@ -39,6 +42,21 @@ def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.contaminated(docs, "doc_id", "text", items, "item_id", "text")
 
 
+def op3_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    part = fold(F.col("doc_id"), 5)
+    docs = table(spark, sf_dir, "documents")
+    found = lm_scoring.score_texts(docs, "doc_id", "text", train=part != 1, tune=part == 2)
+    return found.select(
+        "doc_id",
+        (part == 1).alias("held_out"),
+        "n_tokens",
+        "n_known",
+        "train_tokens",
+        "base_score",
+        "score",
+    )
+
+
 def op4_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages"), "page_id", "url", URL_RULES)
 
@@ -58,6 +76,16 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_extract.extract_text(pages, "html")
+
+
+def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    return chat.repair(turns, "conv_id", "turn", "role", "text")
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"), "doc_id", "text")
 
@@ -72,9 +100,12 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_decontaminate": op2_decontaminate,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_url_filter": op4_url_filter,
     "op5_packing": op5_packing,
     "op6_warc": op6_warc,
+    "op7_html_extraction": op7_html_extraction,
+    "op8_chat_format": op8_chat_format,
     "op9_simhash": op9_simhash,
     "op10_language_id": op10_language_id,
 }

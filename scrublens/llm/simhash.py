@@ -210,8 +210,8 @@ def links(prints: DataFrame, parts: list[Part], radius: int = RADIUS) -> DataFra
     used = [(i, part) for i, part in enumerate(parts) if part.threshold >= 0]
     entries = F.array(*(_key(i, _value(F.col("b"), part.bits)) for i, part in used))
     probes = F.concat(*(_probes(i, part) for i, part in used))
-    index = prints.select(F.col("fp").alias("b"), F.inline(entries))
-    asked = prints.select(F.col("fp").alias("a"), F.inline(probes))
+    index = prints.select(F.col("fp").alias("b")).select("b", F.inline(entries))
+    asked = prints.select(F.col("fp").alias("a")).select("a", F.inline(probes))
     near = F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= radius
     same = (F.col("p.part") == F.col("e.part")) & (F.col("p.value") == F.col("e.value"))
     met = asked.alias("p").join(index.alias("e"), same & (F.col("a") < F.col("b")) & near)
