@@ -10,7 +10,7 @@ from all training documents.
 
 Documents are dealt into blocks of at most ``BLOCK`` tokens, one row each, with the
 different words and bigrams of the block. So a bigram travels once for each block it occurs
-in, not for each document or place. Its count comes back the same way. Everything is
+in, not for each document or place, and its count comes back the same way. Everything is
 counted over all documents; blocks and what is sent to the driver (numbers of a few cells)
 are bounded, the model's tables are joined and never broadcast.
 """
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scrublens.llm.common import written
@@ -78,7 +78,15 @@ class _Blocks:
             return
         row, ids, size, kind = zip(*self.parts)
         kind = np.array(kind)
-        pairs, uses = np.unique(np.concatenate(self.pairs), return_inverse=True)
+        pairs, firsts, uses = np.unique(
+            np.concatenate(self.pairs), return_index=True, return_inverse=True
+        )
+        order = np.argsort(firsts)  # by first appearance
+        number = np.empty_like(order)
+        number[order] = np.arange(len(order))
+        pairs, uses = pairs[order], number[uses]
+        new = np.zeros(len(uses), bool)
+        new[firsts] = True
         kinds = np.repeat(kind, size)
         yield {
             "block": self.number,
@@ -91,7 +99,8 @@ class _Blocks:
             "row": row,
             "id": ids,
             "size": size,
-            "uses": uses,
+            # How far back among the bigrams so far; 0 for a new one, which most are.
+            "uses": np.cumsum(new) - new - uses,
         }
         self.number += 1
         self.clear()
@@ -130,51 +139,68 @@ def blocks(docs: DataFrame) -> DataFrame:
     return docs.select("id", "text", "kind").mapInArrow(run, schema)
 
 
+def _used(back: np.ndarray) -> np.ndarray:
+    """The bigram of each token, from how far back it is among those so far."""
+    new = back == 0
+    return np.cumsum(new) - new - back
+
+
 def _pairs(made: DataFrame) -> DataFrame:
-    """``block, at, key, keep, tune`` of the bigrams of each block."""
-    zipped = F.arrays_zip("first", "second", "keep", "tune")
-    each = made.select("block", "words", F.posexplode(zipped).alias("at", "p"))
-    # Two independent hashes of 64 bits stand for a bigram.
-    first, second = (F.element_at("words", F.col(f"p.{x}") + 1) for x in ("first", "second"))
-    return each.select(
+    """``block, at, key, keep, train`` of the bigrams of each block; ``keep`` and ``train``
+    are the counts over all documents. A hash of 64 bits stands for a bigram.
+
+    A bigram has one row for each block, so the commonest has few of all rows.
+    """
+    each = F.transform(
+        F.arrays_zip("first", "second", "keep", "tune"),
+        lambda p: F.struct(
+            F.xxhash64(
+                F.element_at("words", p["first"] + 1), F.element_at("words", p["second"] + 1)
+            ).alias("key"),
+            p["keep"].alias("own_keep"),
+            (p["keep"] + p["tune"]).alias("own_train"),
+        ),
+    )
+    rows = made.select("block", F.posexplode(each).alias("at", "p")).select("block", "at", "p.*")
+    whole = Window.partitionBy("key")
+    return rows.select(
         "block",
         "at",
-        F.xxhash64(first, second).alias("key"),
-        F.xxhash64(second, F.lit(1), first).alias("key2"),
-        F.col("p.keep").alias("keep"),
-        F.col("p.tune").alias("tune"),
+        F.sum("own_keep").over(whole).alias("keep"),
+        F.sum("own_train").over(whole).alias("train"),
+        "own_keep",
+        "own_train",
     )
 
 
 def _words(made: DataFrame) -> DataFrame:
-    """``block, at, word, keep, tune``: the words of each block as second of a bigram."""
-    zipped = F.arrays_zip("second", "keep", "tune")
-    counts = made.select("block", "words", F.explode(zipped).alias("p"))
-    return counts.select(
-        "block",
-        F.col("p.second").alias("at"),
-        F.element_at("words", F.col("p.second") + 1).alias("word"),
-        F.col("p.keep").alias("keep"),
-        F.col("p.tune").alias("tune"),
+    """``word, keep, tune``: the words as second of the bigrams of each block."""
+    each = F.transform(
+        F.arrays_zip("second", "keep", "tune"),
+        lambda p: F.struct(
+            F.element_at("words", p["second"] + 1).alias("word"), p["keep"], p["tune"]
+        ),
     )
+    return made.select(F.inline(each))
 
 
-def _counted(items: DataFrame, *key: str) -> DataFrame:
-    """Counts over all training documents, of what occurs there."""
-    sums = items.filter("keep + tune > 0").groupBy(*key)
+def _counted(words: DataFrame) -> DataFrame:
+    """Counts over all training documents, of the words that occur there."""
+    sums = words.filter("keep + tune > 0").groupBy("word")
     return sums.agg(F.sum("keep").alias("keep"), (F.sum("keep") + F.sum("tune")).alias("train"))
 
 
-def _answered(made: DataFrame, words: DataFrame, pairs: DataFrame) -> DataFrame:
+def _answered(made: DataFrame, words: DataFrame) -> DataFrame:
     """The blocks with the counts of their words and bigrams, written."""
     of_words = made.select("block", F.posexplode("words").alias("at", "word")).join(words, "word")
-    of_pairs = _pairs(made).select("block", "at", "key", "key2").join(pairs, ["key", "key2"])
+    # A block knows its own counts, so only bigrams of more than one block have an answer.
+    of_pairs = _pairs(made).filter("keep != own_keep OR train != own_train")
     answers = of_words.select(F.col("block").alias("by"), F.lit(0).alias("of"), "at", "keep", "train").unionByName(
         of_pairs.select(F.col("block").alias("by"), F.lit(1).alias("of"), "at", "keep", "train")
     )
     new = "word_keep array<long>, word_train array<long>, pair_keep array<long>, pair_train array<long>"
     asked = made.select(
-        "block", F.size("words").alias("many"), "begins", "first", "second", "tune", "row", "size", "uses"
+        "block", F.size("words").alias("many"), "begins", "first", "second", "keep", "tune", "row", "size", "uses"
     )
     schema = (
         "block long, many int, begins array<boolean>, first array<int>, second array<int>, tune array<int>, "
@@ -183,13 +209,17 @@ def _answered(made: DataFrame, words: DataFrame, pairs: DataFrame) -> DataFrame:
 
     def run(block: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
         line = block.iloc[:1].copy()
-        for of, name, many in ((0, "word", line["many"].iloc[0]), (1, "pair", len(line["first"].iloc[0]))):
+        keep, tune = (np.asarray(line[name].iloc[0], np.int64) for name in ("keep", "tune"))
+        words = {"keep": np.zeros(line["many"].iloc[0], np.int64)}
+        words["train"] = words["keep"].copy()
+        known = {"word": words, "pair": {"keep": keep, "train": keep + tune}}
+        for of, name in enumerate(known):
             own = found[found["of"] == of]
             for column in ("keep", "train"):
-                counts = np.zeros(many, np.int64)
+                counts = known[name][column].copy()
                 counts[own["at"].to_numpy()] = own[column].to_numpy()
                 line[f"{name}_{column}"] = [counts]
-        return line
+        return line.drop(columns="keep")
 
     both = asked.groupBy("block").cogroup(answers.groupBy("by"))
     return written(both.applyInPandas(run, schema), _GROUP)
@@ -260,8 +290,7 @@ def _cells(answered: DataFrame, begun: int, total: int, vocabulary: int) -> np.n
                 )
                 yield frame.groupby(["bucket", "one", "two"], as_index=False).sum()
 
-    columns = ["keep", "tune", "first", "second"]
-    picked = answered.select(*columns[1:], "begins", "word_keep", "pair_keep")
+    picked = answered.select("tune", "first", "second", "begins", "word_keep", "pair_keep")
     counted = picked.mapInPandas(run, "bucket int, one int, two int, often long")
     rows = counted.groupBy("bucket", "one", "two").agg(F.sum("often").alias("often")).toPandas()
     rows = rows.sort_values(["bucket", "one", "two"])
@@ -295,8 +324,7 @@ def score_texts(
         kind.otherwise(1).alias("kind"),
     )
     made = written(blocks(rows), _GROUP)
-    words = written(_counted(_words(made), "word"))
-    pairs = written(_counted(_pairs(made), "key", "key2"))
+    words = written(_counted(_words(made)))
     begins = F.lit(END)
     of = words.agg(
         F.coalesce(F.sum("train"), F.lit(0)).alias("train"),
@@ -307,7 +335,7 @@ def score_texts(
         F.coalesce(F.max(F.when(F.col("word") == begins, F.col("train"))), F.lit(0)).alias("train_docs"),
         F.coalesce(F.max(F.when(F.col("word") == begins, F.col("keep"))), F.lit(0)).alias("keep_docs"),
     ).first()
-    answered = _answered(made, words, pairs)
+    answered = _answered(made, words)
     weights = learned_weights(_cells(answered, of.keep_docs, of.keep, of.keep_types))
     total, types, begun = of.train, of.train_types, of.train_docs
 
@@ -318,7 +346,7 @@ def score_texts(
                 model = np.log10((weights[bucket].T * chance).sum(axis=0))
                 count = np.asarray(line["word_train"])[np.asarray(line["second"])]
                 base = np.log10((count + 0.5) / (total + 0.5 * (types + 1)))
-                uses, size = np.asarray(line["uses"]), np.asarray(line["size"])
+                uses, size = _used(np.asarray(line["uses"])), np.asarray(line["size"])
                 starts = np.cumsum(size) - size
                 yield pd.DataFrame(
                     {
