@@ -24,10 +24,6 @@ from pyspark.sql import types as T
 from scrublens.operators.columns import column, require_columns
 from scrublens.operators.tables import row_bytes
 
-# The most changed ids to hold on the driver and broadcast. Beyond it the tables are
-# joined whole, with the same result.
-FEW_IDS = 100_000
-
 _SHORT = 31  # bytes; below the 32 of a digest, so the two kinds of key never meet
 
 
@@ -53,23 +49,20 @@ def changed_pairs(
     mapping: Mapping[str, str],
     id_col: str,
     null_safe: bool = True,
-    few: int = FEW_IDS,
 ) -> DataFrame:
     """Joined rows in which some mapped column differs, with its values before and
     after. ``null_safe=False`` does not count a change from or to NULL.
 
-    The rows are the result here, so this ends in a join. If cleaning touched at most
-    ``few`` ids, which the key comparison settles without shuffling any text, both
-    sides are first reduced to those; otherwise, and with ids of types other than
-    text, whole number, decimal and date, they are joined whole.
+    The rows are the result here, so this ends in a join, of the rows whose ids have
+    changed. An id may repeat on one side. One that repeats on both does not say which
+    rows belong together, and the query fails when it meets one.
     """
     pairs = _compared(before, after, mapping, id_col)
-    ids = changed_ids(before, after, mapping, id_col, null_safe)
-    found = ids.limit(few + 1).collect() if survives_python(ids.schema[0].dataType) else None
-    if found is not None and len(found) <= few:
-        hits = F.broadcast(before.sparkSession.createDataFrame(found, ids.schema))
-        before = before.join(hits, on=id_col, how="left_semi")
-        after = after.join(hits, on=id_col, how="left_semi")
+    flags = change_flags(before, after, mapping, id_col, null_safe, paired=True)
+    changed = reduce(operator.or_, map(column, flags.columns[1:]))
+    ids = flags.filter(changed).select(column(id_col))
+    before = before.join(ids, on=id_col, how="left_semi")
+    after = after.join(ids, on=id_col, how="left_semi")
     differs = F.lit(False)
     for origin, target in pairs:
         b, a = column(f"{origin}_before"), column(f"{target}_after")
@@ -77,6 +70,16 @@ def changed_pairs(
     return join_sides(before, after, pairs, id_col).filter(differs)
 
 
+def repeated_ids(before: DataFrame, after: DataFrame, id_col: str) -> DataFrame:
+    """The ids that name several rows on both sides."""
+    ids = column(id_col)
+    old = before.select(ids, F.lit(1).alias("b"), F.lit(0).alias("a"))
+    new = after.select(ids, F.lit(0).alias("b"), F.lit(1).alias("a"))
+    stacked = old.unionByName(new).filter(ids.isNotNull())
+    per_id = stacked.groupBy(ids).agg(F.sum("b").alias("b"), F.sum("a").alias("a"))
+    return per_id.filter("b > 1 AND a > 1").select(ids)
+
+
 def joined_rows(before: DataFrame, after: DataFrame, id_col: str) -> DataFrame:
     """One row: how many ``rows`` with an id the two tables hold together, and how many
     ``pairs`` their join on it gives. Reads nothing but the ids and joins nothing."""
@@ -115,14 +118,22 @@ def change_flags(
     mapping: Mapping[str, str],
     id_col: str,
     null_safe: bool = True,
+    paired: bool = False,
 ) -> DataFrame:
     """One row per id found on both sides, with a boolean column for each mapped pair,
-    named ``<origin>_changed``."""
+    named ``<origin>_changed``. With ``paired`` an id that repeats on both is an error."""
     pairs = _compared(before, after, mapping, id_col)
     old = _keys(before.filter(column(id_col).isNotNull()), id_col, [o for o, _ in pairs], "before")
     new = _keys(after.filter(column(id_col).isNotNull()), id_col, [t for _, t in pairs], "after")
-    per_id = old.unionByName(new).groupBy(column(id_col)).agg(*_measures(pairs, null_safe))
-    flags = [flag.alias(f"{o}_changed") for flag, (o, _) in zip(_flags(pairs, null_safe), pairs)]
+    is_before = F.col("side") == "before"
+    rows = [F.count_if(is_before).alias("rows_before"), F.count_if(~is_before).alias("rows_after")]
+    per_id = old.unionByName(new).groupBy(column(id_col)).agg(*_measures(pairs, null_safe), *rows)
+    found = _flags(pairs, null_safe)
+    if paired:
+        refused = F.raise_error(F.lit(f"{id_col!r} does not identify rows: it repeats on both sides"))
+        repeats = F.expr("rows_before > 1 AND rows_after > 1")
+        found = [F.when(repeats, refused.cast("boolean")).otherwise(flag) for flag in found]
+    flags = [flag.alias(f"{o}_changed") for flag, (o, _) in zip(found, pairs)]
     return per_id.filter("in_before AND in_after").select(column(id_col), *flags)
 
 

@@ -10,17 +10,13 @@ from pyspark.sql.types import StringType
 
 from scrublens.operators.columns import column
 from scrublens.operators.diff import (
-    FEW_IDS,
     changed_columns,
     changed_pairs,
     join_sides,
-    joined_rows,
+    repeated_ids,
     survives_python,
 )
 
-# A report may have this many lines for each row of the tables before it is refused.
-FAN_OUT = 10
-
 
 def change_report(
     before: DataFrame,
@@ -28,8 +24,6 @@ def change_report(
     mapping: Mapping[str, str],
     id_col: str,
     only_changed: bool = False,
-    few: int = FEW_IDS,
-    fan_out: int | None = FAN_OUT,
 ) -> DataFrame | None:
     """``id, a_before, a_after, ...`` for the changed columns, ordered by id; None if no
     column changed.
@@ -37,22 +31,20 @@ def change_report(
     Every matched id is listed, changed or not, unless ``only_changed``. Which columns
     changed is settled first, by their value sets, since it decides the layout.
 
-    An id is meant to name one row. One that repeats on both sides has a line for each
-    pair of its rows. If that would make more than ``fan_out`` lines for each row of the
-    tables, no report is begun but a ``ValueError`` raised; None switches this off.
+    An id that repeats on one side has a line for each of its rows. One that repeats on
+    both does not say which rows belong together: no report is begun but a
+    ``ValueError`` raised, however few there are.
     """
     changed = _collect_changed(before, after, mapping, id_col)
     if not changed:
         return None
-    if fan_out is not None:
-        size = joined_rows(before, after, id_col).first()
-        if size.pairs > fan_out * size.rows:
-            raise ValueError(
-                f"{id_col!r} does not identify rows: {size.rows} rows would make "
-                f"{size.pairs} report lines; changed_ids and matched_count do not pair rows"
-            )
+    if not repeated_ids(before, after, id_col).isEmpty():
+        raise ValueError(
+            f"{id_col!r} does not identify rows: it repeats on both sides; "
+            "changed_ids and matched_count do not pair rows"
+        )
     if only_changed:
-        rows = changed_pairs(before, after, dict(changed), id_col, few=few)
+        rows = changed_pairs(before, after, dict(changed), id_col)
     else:
         rows = join_sides(before, after, changed, id_col)
     return rows.orderBy(column(id_col))

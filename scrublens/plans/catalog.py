@@ -24,7 +24,7 @@ from scrublens.operators.columns import (
     rename_columns,
 )
 from scrublens.plans import job
-from scrublens.sources.tables import read_table, scratch_path, spread, write_table
+from scrublens.sources.tables import read_table, scratch_path, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -51,8 +51,8 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _cells(spark: SparkSession, sf_dir: str, table: str, key: str, cell: str) -> DataFrame:
-    """Key and text column of a table, spread over the cores if it is small."""
-    return spread(_table(spark, sf_dir, table).select(key, cell), key)
+    """Key and text column of a table."""
+    return _table(spark, sf_dir, table).select(key, cell)
 
 
 # --- cells derived from a key -----------------------------------------------
@@ -177,14 +177,9 @@ def _before_after(
     cleaner: Cleaner,
     columns: tuple[ColumnSpec, ...] = (),
 ) -> tuple[DataFrame, DataFrame]:
-    """``documents`` and its cleaned, written copy."""
+    """``documents`` and its cleaned copy."""
     before = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
-    cleaned = clean_columns(
-        spread(before, "doc_id"), columns or keep_all(before), cleaner, only=("text",)
-    )
-    path = scratch_path(spark)
-    write_table(cleaned, path)
-    return before, read_table(spark, path)
+    return before, clean_columns(before, columns or keep_all(before), cleaner, only=("text",))
 
 
 SAME_NAMES = {"text": "text", "lang": "lang", "source": "source"}

@@ -20,7 +20,7 @@ from scrublens.operators.columns import (
     resolve_id,
     target_mapping,
 )
-from scrublens.sources.tables import DEFAULT_FORMAT, read_table, spread, write_table
+from scrublens.sources.tables import DEFAULT_FORMAT, read_table, write_table
 
 REMOVE_SPECIAL_CHAR = "REMOVE_SPECIAL_CHAR"
 REMOVE_HTML_TAG = "REMOVE_HTML_TAG"
@@ -141,16 +141,19 @@ def cleaner_for(spec: JobSpec) -> Cleaner | None:
 def clean(df: DataFrame, spec: JobSpec) -> DataFrame:
     """The job's output for ``df``. Nothing is run.
 
-    Cleaning is one projection. Duplicate removal looks at the output columns: whole
-    rows, or with ``dedup_keys`` the row with the smallest id for each key.
+    Cleaning is one projection. Duplicate removal looks at ``dedup_keys``, or without
+    them at all output columns but the id; of rows that agree the one with the smallest
+    id stays. Without an id among the output columns, whole rows are compared.
     """
     if spec.job_type != REMOVE_DUPLICATE_ROW:
         has_id = any(c.name == spec.id_col for c in spec.columns)
         id_col = spec.id_col if has_id else FALLBACK_ID
         return clean_columns(df, spec.columns, cleaner_for(spec), skip=(id_col,))
     renamed = rename_columns(df, spec.columns)
-    if spec.dedup_keys:
-        return tables.keep_first_by_key(renamed, spec.dedup_keys, spec.id_col)
+    others = [name for name in renamed.columns if name != spec.id_col]
+    keys = spec.dedup_keys or (others if len(others) < len(renamed.columns) else ())
+    if keys:
+        return tables.keep_first_by_key(renamed, keys, spec.id_col)
     return tables.drop_duplicate_rows(renamed)
 
 
@@ -164,8 +167,7 @@ def run_job(spark: SparkSession, spec: JobSpec, on_error: str = "raise") -> JobR
         raise ValueError("on_error is 'raise' or 'record'")
     try:
         source = read_table(spark, spec.input_path, spec.fmt)
-        by_row = spec.job_type != REMOVE_DUPLICATE_ROW
-        cleaned = clean(spread(source) if by_row else source, spec)
+        cleaned = clean(source, spec)
         if spec.mapping:
             resolve_id(source, cleaned, spec.id_col)  # before anything is written
         write_table(cleaned, spec.output_path, spec.fmt)

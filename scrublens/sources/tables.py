@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Sequence
 
@@ -10,11 +9,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 DEFAULT_FORMAT = "parquet"
 
-# A table up to this size may be reshuffled to occupy all cores; the bound makes the
-# shuffle cheap whatever the cluster.
-SMALL_TABLE_BYTES = 256 * 1024 * 1024
-
-
 def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
     return spark.read.format(fmt).load(path)
 
@@ -30,30 +24,12 @@ def write_table(
     df.write.format(fmt).mode(mode).partitionBy(*partition_by).save(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give a small table one partition per core, by hash of ``keys``.
-
-    A file with a single row group is read by one task, however many cores wait for
-    the text work behind it. Tables that are larger, or have a file for each core, stay
-    as they are.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    if size > SMALL_TABLE_BYTES or len(df.inputFiles()) >= cores:
-        return df
-    return df.repartition(cores, *keys)
-
-
 def scratch_path(spark: SparkSession) -> str:
-    """A fresh path for a table written along the way.
-
-    On a cluster it lies in the shared folder named by ``spark.checkpoint.dir``; a
-    local session without that setting uses a temporary folder. Removing the table is
-    left to whoever clears that folder, as long as frames that read it are in use.
+    """A fresh path for a table written along the way: below ``spark.checkpoint.dir``, else
+    below the warehouse, which all executors share too. Removing the table is left to
+    whoever clears that folder, as long as frames that read it are in use.
     """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        shared = tempfile.mkdtemp(prefix="scrublens-")
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get(
+        "spark.sql.warehouse.dir"
+    )
     return f"{shared.rstrip('/')}/{uuid.uuid4().hex}"

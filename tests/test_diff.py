@@ -57,12 +57,11 @@ def test_changed_ids(sides):
 
 
 def test_changed_pairs(sides):
-    for few in (100, 0):  # looked up by broadcast ids, or joined whole
-        rows = diff.changed_pairs(*sides, MAPPING, "id", few=few).orderBy("id").collect()
-        assert [r.id for r in rows] == [1, 2, 5]
-        names = ["id", "t_before", "t2_after", "u_before", "u_after", "v_before", "v_after"]
-        assert list(rows[0].asDict()) == names
-        assert tuple(rows[0]) == (1, "a", "A", "x", "x", LONG, LONG)
+    rows = diff.changed_pairs(*sides, MAPPING, "id").orderBy("id").collect()
+    assert [r.id for r in rows] == [1, 2, 5]
+    names = ["id", "t_before", "t2_after", "u_before", "u_after", "v_before", "v_after"]
+    assert list(rows[0].asDict()) == names
+    assert tuple(rows[0]) == (1, "a", "A", "x", "x", LONG, LONG)
 
 
 def test_per_column(sides):
@@ -168,10 +167,15 @@ def test_repeated_ids_like_joined_pairs(spark, null_safe):
     )
     per_column = diff.changed_rows_per_column(left, right, names, "id", null_safe).collect()
     assert [r.changed_rows for r in per_column] == counts
-    for few in (100, 0):
-        rows = diff.changed_pairs(left, right, names, "id", null_safe, few=few).collect()
-        got = sorted(map(repr, (tuple(r) for r in rows)))
-        assert got == sorted(repr((b[0], b[1], a[1], b[2], a[2])) for b, a in changed)
+    # Rows are paired where an id repeats on one side only.
+    with pytest.raises(Exception, match="does not identify rows"):
+        diff.changed_pairs(left, right, names, "id", null_safe).collect()
+    once = {a[0]: a for a in after}
+    single = spark.createDataFrame(list(once.values()), schema)
+    rows = diff.changed_pairs(left, single, names, "id", null_safe).collect()
+    got = sorted(map(repr, (tuple(r) for r in rows)))
+    kept = [(b, a) for b, a in changed if once[a[0]] is a]
+    assert got == sorted(repr((b[0], b[1], a[1], b[2], a[2])) for b, a in kept)
 
 
 def test_hot_id_stays_linear(spark):
@@ -187,7 +191,7 @@ def test_hot_id_stays_linear(spark):
 
 
 def test_hot_id_in_reports(spark):
-    """A preview of it is cheap, its report refused; a few repeats are paired."""
+    """A preview of it is cheap; its report is refused if it repeats on both sides."""
     from pyspark.sql import functions as F
 
     before = spark.range(50_000).select(F.lit(7).alias("id"), F.col("id").cast("string").alias("t"))
@@ -197,11 +201,12 @@ def test_hot_id_in_reports(spark):
     for only_changed in (False, True):
         with pytest.raises(ValueError, match="does not identify rows"):
             report.change_report(before, after, {"t": "t"}, "id", only_changed)
-    few, few_after = before.limit(30), after.limit(30)
-    with pytest.raises(ValueError, match="900 report lines"):
-        report.change_report(few, few_after, {"t": "t"}, "id")
-    assert report.change_report(few, few_after, {"t": "t"}, "id", fan_out=None).count() == 900
-    assert report.change_report(few.limit(9), few_after.limit(9), {"t": "t"}, "id").count() == 81
+    for n in (2, 15, 25):
+        with pytest.raises(ValueError, match="does not identify rows"):
+            report.change_report(before.limit(n), after.limit(n), {"t": "t"}, "id")
+        for only_changed in (False, True):
+            lines = report.change_report(before.limit(n), after.limit(1), {"t": "t"}, "id", only_changed)
+            assert lines.count() == n
 
 
 def test_report(sides):

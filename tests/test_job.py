@@ -165,3 +165,17 @@ def test_from_params():
     assert made.mapping == {"a": "b"}
     assert (made.options.shortest, made.options.longest, made.fmt) == (3, 9, "orc")
     assert JobSpec.from_params(SimpleNamespace(**params), fmt="orc") == made
+
+
+def test_duplicates_are_found_without_the_id(spark):
+    path = scratch_path(spark)
+    write_table(spark.createDataFrame([(2, "same"), (1, "same"), (3, "same")], "id int, t string"), path)
+    record = {
+        "preprocessType": "REMOVE_DUPLICATE_ROW",
+        "inputDataPath": path,
+        "outputDataPath": scratch_path(spark),
+        "newTableColumns": [{"originColumnName": c, "columnName": c} for c in ("id", "t")],
+        "targetTableColumns": [{"columnName": "t"}],
+    }
+    output = run_job(spark, JobSpec.from_params(record)).output
+    assert [tuple(row) for row in output.collect()] == [(1, "same")]
