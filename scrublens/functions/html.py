@@ -110,13 +110,17 @@ TAG_MARKERS = {
 }
 # ----------------------------------------------------------------------------
 
-_TAG = "<[/!?]?[A-Za-z][^<>]*+>"
-_ELEMENT = "<[A-Za-z][^<>]*+>"
+# The rest of a tag after its name. A quoted value may hold angle brackets; where quotes do
+# not balance, the tag ends at the first bracket.
+_REST = r"""(?:[^<>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=++)*+>"""
+_TAG = f"<[/!?]?[A-Za-z]{_REST}"
+_ELEMENT = f"<[A-Za-z]{_REST}"
+_COMMENT = r"(?s)<!--.*?(?:-->|\z)"
 
 _HIDDEN = (
     r"(?is)<!--.*?(?:-->|\z)"
-    r"|<script\b[^<>]*+>.*?(?:</script\s*+>|\z)"
-    r"|<style\b[^<>]*+>.*?(?:</style\s*+>|\z)"
+    rf"|<script\b{_REST}.*?(?:</script\s*+>|\z)"
+    rf"|<style\b{_REST}.*?(?:</style\s*+>|\z)"
 )
 _HEAD = r"(?is)<head(?:\s[^<>]*+)?>.*?(?:</head\s*+>|(?=<body\b)|\z)"
 
@@ -128,8 +132,8 @@ _LINK = (
     r"((?:[^<]++|<(?!/?a\b))*+)</a\s*+>"
 )
 
-_LIST_TAG = r"(?i)</?(?:ol|ul|li)\b[^<>]*+>"
-_CELL_TAG = r"(?i)<t[dh]\b[^<>]*+>"
+_LIST_TAG = rf"(?i)</?(?:ol|ul|li)\b{_REST}"
+_CELL_TAG = rf"(?i)<t[dh]\b{_REST}"
 
 _CHARREF = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 _CHARREF_HEAD = r"&[^\t\n\f <&;]"
@@ -158,8 +162,12 @@ def br_to_newline(text: Column) -> Column:
 
 
 def has_element(text: Column) -> Column:
-    """Whether the text holds an opening tag."""
-    return text.rlike(_ELEMENT)
+    """Whether the text holds an opening tag outside its comments."""
+
+    def without_comments(cell: Column) -> Column:
+        return F.regexp_replace(cell, _COMMENT, "")
+
+    return _where_held(text, ["<!--"], without_comments).rlike(_ELEMENT)
 
 
 def strip_tags(text: Column) -> Column:

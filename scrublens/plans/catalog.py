@@ -111,15 +111,6 @@ def _documents_with_contact(cleaner: Cleaner) -> Query:
     return query
 
 
-def _contacts(pattern: personal_info.Pattern) -> Query:
-    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        df = _table(spark, sf_dir, "customer").select("c_custkey")
-        masked = personal_info.mask_matches(_contact(F.col("c_custkey")), [pattern])
-        return df.select("c_custkey", masked.alias("contact"))
-
-    return query
-
-
 def _pages(cleaner: Cleaner, name: str = "text") -> Query:
     """Over each page with a derived passage appended."""
 
@@ -211,8 +202,8 @@ TURN_NAMES = {"role": "role", "text": "text"}
 
 
 def _changed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    before, after = _turns(spark, sf_dir)
-    return diff.changed_ids(before, after, {"role": "role"}, "conv_id")
+    before, after = _before_after(spark, sf_dir, text.clean_space)
+    return diff.changed_ids(before, after, {"text": "text", "lang": "lang"}, "doc_id")
 
 
 def _changed_rows_per_column(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -387,11 +378,21 @@ QUERIES: dict[str, Query] = {
     "pii_delete": _documents_with_contact(personal_info.delete_matches),
     "pii_mask": _documents_with_contact(personal_info.mask_matches),
     "pii_row_delete": _documents_with_contact(personal_info.delete_lines),
-    "mask_card": _contacts(personal_info.CARD),
-    "mask_account": _contacts(personal_info.ACCOUNT),
-    "mask_phone": _contacts(personal_info.PHONE),
-    "mask_resident_no": _contacts(personal_info.RESIDENT_NO),
-    "mask_email": _contacts(personal_info.EMAIL),
+    "mask_card": _documents_with_contact(
+        lambda cell: personal_info.mask_matches(cell, [personal_info.CARD])
+    ),
+    "mask_account": _documents_with_contact(
+        lambda cell: personal_info.mask_matches(cell, [personal_info.ACCOUNT])
+    ),
+    "mask_phone": _documents_with_contact(
+        lambda cell: personal_info.mask_matches(cell, [personal_info.PHONE])
+    ),
+    "mask_resident_no": _documents_with_contact(
+        lambda cell: personal_info.mask_matches(cell, [personal_info.RESIDENT_NO])
+    ),
+    "mask_email": _documents_with_contact(
+        lambda cell: personal_info.mask_matches(cell, [personal_info.EMAIL])
+    ),
     # HTML
     "html_unescape": _pages(html.unescape),
     "html_br_to_newline": _pages(html.br_to_newline),

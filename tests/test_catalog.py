@@ -8,11 +8,10 @@ import duckdb
 import pytest
 
 import __spark_entry__
+from scrublens.plans.catalog import QUERIES
+from scrublens.plans.oracle import SQL
 from tests.conftest import SF_DIR
 
-QUERIES = __spark_entry__.queries()
-SQL = __spark_entry__.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def duck():

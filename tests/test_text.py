@@ -35,7 +35,6 @@ def test_whitespace_is_pythons():
             lambda c: text.keep_listed_special(c, ["!", "]", "^", "🙂"]),
             lambda s: plain.keep_listed_special(s, "!]^🙂"),
         ),
-        (lambda c: text.blank_outlier(c, 5, 20), lambda s: plain.blank_outlier(s, 5, 20)),
     ],
 )
 def test_like_plain_definition(apply, function, expected):
