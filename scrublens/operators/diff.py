@@ -7,8 +7,8 @@ instead, which needs one shuffle, combines repeated ids before it, and stays lin
 when an id repeats, however often. Ids found on one side only, and NULL ids, do not
 count, as in the join.
 
-Values are compared by a key of bounded width (see :func:`value_key`), so long texts
-are not shuffled.
+Values are compared by keys of bounded width (see :func:`value_key` and :func:`_keys`), so
+long texts are not shuffled.
 """
 
 from __future__ import annotations
@@ -30,6 +30,13 @@ _SHORT = 31  # bytes; below the 32 of a digest, so the two kinds of key never me
 def value_key(value: Column, data_type: T.DataType) -> Column:
     """At most 32 bytes that are equal for equal values: short texts stand for
     themselves, long ones are replaced by their SHA-256."""
+    text = _as_text(value, data_type)
+    is_short = F.octet_length(text) <= _SHORT
+    return F.when(is_short, text.cast("binary")).otherwise(F.unhex(F.sha2(text, 256)))
+
+
+def _as_text(value: Column, data_type: T.DataType) -> Column:
+    """A text that is equal for equal values."""
     if isinstance(data_type, (T.FloatType, T.DoubleType)):
         value = value + F.lit(0.0).cast(data_type)  # -0.0 equals 0.0
     elif isinstance(data_type, T.TimestampType):
@@ -38,9 +45,7 @@ def value_key(value: Column, data_type: T.DataType) -> Column:
         value = F.to_json(F.struct(value), {"ignoreNullFields": "false"})
     elif isinstance(data_type, T.BinaryType):
         value = F.hex(value)
-    text = value.cast("string")
-    is_short = F.octet_length(text) <= _SHORT
-    return F.when(is_short, text.cast("binary")).otherwise(F.unhex(F.sha2(text, 256)))
+    return value.cast("string")
 
 
 def changed_pairs(
@@ -268,8 +273,9 @@ def _measures(pairs: Sequence[tuple[str, str]], null_safe: bool) -> list[Column]
     is_before = F.col("side") == "before"
     measures = [F.max(is_before).alias("in_before"), F.max(~is_before).alias("in_after")]
     for i in range(len(pairs)):
-        key = F.col(f"key_{i}")
-        measures += [F.min(key).alias(f"min_{i}"), F.max(key).alias(f"max_{i}")]
+        key = F.col(f"high_{i}")
+        for word in (f"high_{i}", f"low_{i}"):
+            measures += [F.min(word).alias(f"min_{word}"), F.max(word).alias(f"max_{word}")]
         if null_safe:
             measures.append(F.max(key.isNull()).alias(f"null_{i}"))
         else:
@@ -283,9 +289,11 @@ def _flags(pairs: Sequence[tuple[str, str]], null_safe: bool) -> list[Column]:
     rows on both sides that is so if their values taken together are not all alike."""
     flags = []
     for i in range(len(pairs)):
-        several = F.coalesce(F.col(f"min_{i}") != F.col(f"max_{i}"), F.lit(False))
+        words = (f"high_{i}", f"low_{i}")
+        differ = [F.col(f"min_{word}") != F.col(f"max_{word}") for word in words]
+        several = F.coalesce(reduce(operator.or_, differ), F.lit(False))
         if null_safe:
-            flags.append(several | (F.col(f"null_{i}") & F.col(f"min_{i}").isNotNull()))
+            flags.append(several | (F.col(f"null_{i}") & F.col(f"min_high_{i}").isNotNull()))
         else:
             flags.append(several & F.col(f"before_{i}") & F.col(f"after_{i}"))
     return flags
@@ -301,12 +309,23 @@ def _suffixed(df: DataFrame, id_col: str, names: list[str], suffix: str) -> Data
 def _keys(
     df: DataFrame, id_col: str, names: list[str], side: str, size: Column | None = None
 ) -> DataFrame:
-    """Id, side and compared keys of each row, and its size if asked for."""
-    keys = [
-        value_key(column(n), df.schema[n].dataType).alias(f"key_{i}") for i, n in enumerate(names)
+    """Id, side and compared keys of each row, and its size if asked for.
+
+    A key is two numbers, 120 bits of the value's SHA-256: unlike binary keys, a hash
+    aggregation can keep their extremes without sorting.
+    """
+    digests = [
+        F.sha2(_as_text(column(n), df.schema[n].dataType), 256).alias(f"digest_{i}")
+        for i, n in enumerate(names)
+    ]
+    words = [
+        F.conv(F.substring(f"digest_{i}", at, 15), 16, 10).cast("long").alias(f"{word}_{i}")
+        for i in range(len(names))
+        for word, at in (("high", 1), ("low", 16))
     ]
     sizes = [] if size is None else [size.alias("bytes")]
-    return df.select(column(id_col), F.lit(side).alias("side"), *keys, *sizes)
+    hashed = df.select(column(id_col), F.lit(side).alias("side"), *digests, *sizes)
+    return hashed.select(column(id_col), "side", *words, *(["bytes"] if sizes else []))
 
 
 def _cells(df: DataFrame, names: list[str], side: str, id_col: str | None = None) -> DataFrame:

@@ -290,6 +290,7 @@ def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
             ],
             "targetTableColumns": [{"columnName": "text"}, {"columnName": "lang"}],
             "optionType": "masking",
+            "preprocessIdx": 17,
         },
         id_col="doc_id",
     )

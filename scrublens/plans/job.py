@@ -16,6 +16,7 @@ from scrublens.operators.columns import (
     Cleaner,
     ColumnSpec,
     clean_columns,
+    column,
     rename_columns,
     resolve_id,
     target_mapping,
@@ -51,6 +52,10 @@ class JobSpec:
     id_col: str = "id"
     fmt: str = DEFAULT_FORMAT
     dedup_keys: tuple[str, ...] = ()
+    job_id: str | None = None
+    mode: str = "errorifexists"  # of the output
+    partition_by: tuple[str, ...] = ()  # output columns
+    metrics_path: str | None = None  # a table the metrics row is added to
 
     def __post_init__(self) -> None:
         if self.job_type not in _CLEANERS and self.job_type != REMOVE_DUPLICATE_ROW:
@@ -60,6 +65,9 @@ class JobSpec:
             raise ValueError("the job names no output columns")
         if not self.input_path or not self.output_path:
             raise ValueError("the job needs an input and an output path")
+        missing = set(self.partition_by) - {c.name for c in self.columns}
+        if missing:
+            raise ValueError(f"cannot partition by {sorted(missing)}: no output columns")
         cleaner_for(self)
 
     @classmethod
@@ -67,12 +75,14 @@ class JobSpec:
         """From a parameter record as callers send it, a dict or an object:
         ``preprocessType``, ``inputDataPath``, ``outputDataPath``, ``newTableColumns``,
         ``targetTableColumns``, ``optionType``, ``optionContent``, ``optionMin`` and
-        ``optionMax``, the last two as text."""
+        ``optionMax``, the last two as text, and ``preprocessIdx``, the job's id."""
         if not isinstance(params, Mapping):
             params = vars(params)
         bounds = (params.get("optionMin"), params.get("optionMax"))
         shortest, longest = (None if bound is None else int(bound) for bound in bounds)
+        job_id = params.get("preprocessIdx")
         fields = {
+            "job_id": None if job_id is None else str(job_id),
             "job_type": params["preprocessType"],
             "input_path": params["inputDataPath"],
             "output_path": params["outputDataPath"],
@@ -162,6 +172,9 @@ def run_job(spark: SparkSession, spec: JobSpec, on_error: str = "raise") -> JobR
 
     With ``on_error="record"`` a failure yields a result whose metrics row has status
     ``error`` and the message, instead of an exception.
+
+    With a ``metrics_path`` the metrics row is added to that table, and the result has the
+    row as written; else it is computed whenever it is looked at.
     """
     if on_error not in ("raise", "record"):
         raise ValueError("on_error is 'raise' or 'record'")
@@ -170,19 +183,31 @@ def run_job(spark: SparkSession, spec: JobSpec, on_error: str = "raise") -> JobR
         cleaned = clean(source, spec)
         if spec.mapping:
             resolve_id(source, cleaned, spec.id_col)  # before anything is written
-        write_table(cleaned, spec.output_path, spec.fmt)
-        output = read_table(spark, spec.output_path, spec.fmt)
-        metrics = job_metrics(source, output, spec)
+        write_table(cleaned, spec.output_path, spec.fmt, spec.mode, spec.partition_by)
+        # A reader puts the columns of partitions last and takes their types from the paths.
+        schema = cleaned.schema if spec.partition_by else None
+        output = read_table(spark, spec.output_path, spec.fmt, schema)
+        output = output.select(*map(column, cleaned.columns))
+        metrics = _kept(job_metrics(source, output, spec), spec)
     except Exception as error:
         if on_error == "raise":
             raise
         nothing = spark.createDataFrame([], "id long")
-        return JobResult(spec, nothing, nothing, _failed(spark, spec, error))
+        return JobResult(spec, nothing, nothing, _kept(_failed(spark, spec, error), spec))
     return JobResult(spec, source, output, metrics)
 
 
+def _kept(metrics: DataFrame, spec: JobSpec) -> DataFrame:
+    """The metrics row, added to the table of metrics if the job names one."""
+    if spec.metrics_path is None:
+        return metrics
+    row = metrics.sparkSession.createDataFrame(metrics.collect(), metrics.schema)  # one row
+    write_table(row, spec.metrics_path, spec.fmt, "append")
+    return row
+
+
 def job_metrics(source: DataFrame, output: DataFrame, spec: JobSpec) -> DataFrame:
-    """One row: output columns, row counts and sizes of both tables, the number of
+    """One row: the job's id, output columns, row counts and sizes of both tables, the number of
     changed ids, and the status."""
     id_col = resolve_id(source, output, spec.id_col) if spec.mapping else None
     mapping = {o: t for o, t in spec.mapping.items() if id_col not in (o, t)}
@@ -195,6 +220,7 @@ def job_metrics(source: DataFrame, output: DataFrame, spec: JobSpec) -> DataFram
         measured = both.agg(*(F.max(name).alias(name) for name in both.columns))
         measured = measured.withColumn("matched_count", F.lit(0).cast("long"))
     return measured.select(
+        F.lit(spec.job_id).cast("string").alias("job_id"),
         F.array(*(F.lit(c.name) for c in spec.columns)).alias("columns"),
         *_MEASURES,
         F.lit("ok").alias("status"),
@@ -209,8 +235,8 @@ def _failed(spark: SparkSession, spec: JobSpec, error: Exception) -> DataFrame:
     names = [c.name for c in spec.columns]
     measures = ", ".join(f"{name} long" for name in _MEASURES)
     return spark.createDataFrame(
-        [(names, 0, 0, 0, 0, 0, "error", str(error))],
-        f"columns array<string>, {measures}, status string, message string",
+        [(spec.job_id, names, 0, 0, 0, 0, 0, "error", str(error))],
+        f"job_id string, columns array<string>, {measures}, status string, message string",
     )
 
 

@@ -6,11 +6,16 @@ import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 DEFAULT_FORMAT = "parquet"
 
-def read_table(spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT) -> DataFrame:
-    return spark.read.format(fmt).load(path)
+
+def read_table(
+    spark: SparkSession, path: str, fmt: str = DEFAULT_FORMAT, schema: StructType | None = None
+) -> DataFrame:
+    reader = spark.read.format(fmt)
+    return (reader.schema(schema) if schema else reader).load(path)
 
 
 def write_table(

@@ -270,3 +270,15 @@ def test_one_shuffle_by_id(sides):
     plan = plan_of(diff.matched_count(*sides, MAPPING, "id"))
     assert "Join" not in plan
     assert plan.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("null_safe", [True, False])
+def test_comparisons_do_not_sort(sides, null_safe):
+    for found in (
+        diff.changed_ids(*sides, MAPPING, "id", null_safe),
+        diff.matched_count(*sides, MAPPING, "id", null_safe),
+        diff.count_and_compare(*sides, MAPPING, "id"),
+    ):
+        plan = plan_of(found)
+        assert "HashAggregate" in plan
+        assert "SortAggregate" not in plan

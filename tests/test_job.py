@@ -66,6 +66,7 @@ def test_metrics_and_report(spark, source):
     result = run_job(spark, spec(spark, source, job.REMOVE_SPACE_TAB_NEWLINE))
     metrics = result.metrics.first().asDict()
     assert metrics == {
+        "job_id": None,
         "columns": ["id", "body", "n"],
         "source_count": 4,
         "source_size": 4 + 4 + 23,
@@ -179,3 +180,37 @@ def test_duplicates_are_found_without_the_id(spark):
     }
     output = run_job(spark, JobSpec.from_params(record)).output
     assert [tuple(row) for row in output.collect()] == [(1, "same")]
+
+
+def test_write_options_and_kept_metrics(spark, source):
+    kept = scratch_path(spark)
+    columns = (ColumnSpec("n", "n"), ColumnSpec("id", "id"), ColumnSpec("t", "body"))
+    made = spec(
+        spark,
+        source,
+        job.REMOVE_SPACE_TAB_NEWLINE,
+        columns=columns,
+        job_id="j1",
+        mode="overwrite",
+        partition_by=("body",),
+        metrics_path=kept,
+    )
+    for _ in range(2):
+        result = run_job(spark, made)
+        assert result.output.columns == ["n", "id", "body"]
+        assert bodies(result) == ["a b", "c 010-1234-5678", None, "a b"]
+    rows = read_table(spark, kept).collect()
+    assert rows == [result.metrics.first()] * 2
+    assert (rows[0].job_id, rows[0].matched_count, rows[0].status) == ("j1", 2, "ok")
+    with pytest.raises(ValueError, match="partition"):
+        spec(spark, source, job.REMOVE_SPACE_TAB_NEWLINE, partition_by=("t",))
+
+
+def test_failures_are_kept_too(spark):
+    kept = scratch_path(spark)
+    made = spec(
+        spark, scratch_path(spark), job.REMOVE_SPACE_TAB_NEWLINE, job_id="j2", metrics_path=kept
+    )
+    run_job(spark, made, on_error="record")
+    row = read_table(spark, kept).first()
+    assert (row.job_id, row.status) == ("j2", "error")
