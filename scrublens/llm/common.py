@@ -52,6 +52,13 @@ def written(df: DataFrame, group_rows: int | None = None) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def row_key(id_col: str, text_col: str) -> Column:
+    """What tells a document from others, whatever its id: the id and a digest of the text.
+    Rows that agree in it are true copies. Orders as the id does, null first."""
+    text = F.coalesce(column(text_col), F.lit(""))
+    return F.struct(column(id_col).alias("id"), F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest"))
+
+
 def keep_rows(df: DataFrame, ids: DataFrame, id_col: str, how: str) -> DataFrame:
     """Rows of ``df`` whose id is (``left_semi``) or is not (``left_anti``) among ``ids``,
     a table of one column. Null ids match null ids. All columns stay as they are."""

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scrublens.functions.charclass import bind
-from scrublens.llm.common import keep_rows, written
+from scrublens.llm.common import keep_rows, row_key, written
 
 BLOCK = 4096
 
@@ -150,8 +150,8 @@ def exact_duplicates(
 
 
 def drop_exact_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns. Ids are taken to name rows:
-    of rows that share an id that stays, one remains."""
-    found = exact_duplicates(docs, id_col, text_col)
-    kept = found.filter("kept").select(id_col).distinct()
-    return keep_rows(docs, kept, id_col, "left_semi").dropDuplicates([id_col])
+    """The rows of ``docs`` that stay, with all their columns: one of each group. Rows are
+    told apart by id and text, so null or repeated ids with other texts stay."""
+    keyed = docs.withColumn("_row", row_key(id_col, text_col))
+    kept = exact_duplicates(keyed, "_row", text_col).filter("kept").select("_row").distinct()
+    return keep_rows(keyed, kept, "_row", "left_semi").dropDuplicates(["_row"]).drop("_row")

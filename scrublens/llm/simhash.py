@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrublens.llm.common import keep_rows, written
+from scrublens.llm.common import keep_rows, row_key, written
 from scrublens.llm.components import components
 
 BITS = 64
@@ -249,8 +249,9 @@ def near_duplicates(
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The rows of ``docs`` whose id is the smallest of its component, with all their
-    columns."""
-    found = near_duplicates(docs, id_col, text_col)
-    dropped = found.filter(~F.col(id_col).eqNullSafe(F.col("component_id"))).select(id_col)
-    return keep_rows(docs, dropped, id_col, "left_anti")
+    """The rows of ``docs`` whose id is the smallest of its component (null before all
+    others), with all their columns. Rows are told apart by id and text."""
+    keyed = docs.withColumn("_row", row_key(id_col, text_col))
+    found = near_duplicates(keyed, "_row", text_col)
+    dropped = found.filter("_row != component_id").select("_row").distinct()
+    return keep_rows(keyed, dropped, "_row", "left_anti").drop("_row")

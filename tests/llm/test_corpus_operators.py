@@ -184,3 +184,18 @@ def test_pipeline_keeps_clean_documents(spark):
         before = spark.createDataFrame(after.collect(), docs.schema)
     pieces = corpus_pipeline.STAGES[-1][1](spark, before, SF_DIR)
     assert {r.doc_id for r in pieces.select("doc_id").collect()} == kept
+
+
+def test_null_and_repeated_ids_lose_no_other_text(spark):
+    item = "If Anna buys 12 apples and 5 pears at the market on Monday, how many pieces of fruit does she carry home?"
+    one, two, three = ("".join(f"{w}{i} " for i in range(40)) for w in ("red", "blue", "green"))
+    rows = [(None, one), (None, two), (None, two), (4, three), (4, item), (4, one + " "), (None, item)]
+    docs = spark.createDataFrame([(i, t, 0) for i, t in rows], "doc_id long, text string, level int")
+    items = spark.createDataFrame([(9, item)], "item_id long, text string")
+    kept = exact_dedup.drop_exact_duplicates(docs, "doc_id", "text")
+    assert kept.columns == docs.columns
+    assert sorted(r.text.strip() for r in kept.collect()) == sorted({t.strip() for _, t in rows})
+    kept = simhash.drop_near_duplicates(docs.filter("text != ''"), "doc_id", "text")
+    assert {r.text.strip() for r in kept.collect()} == {t.strip() for _, t in rows}
+    kept = decontamination.drop_contaminated(docs, "doc_id", "text", items, "item_id", "text")
+    assert sorted(r.text for r in kept.collect()) == sorted(t for _, t in rows if t != item)
