@@ -108,12 +108,12 @@ def trace(codes: np.ndarray, first: int, ends: np.ndarray) -> list[int]:
 
 
 def _runs(conv: pd.Series) -> list[tuple[int, int]]:
-    """Begin and end of each conversation in a frame sorted by ``conv``; null is one too."""
+    """Begin and end of each conversation in a frame sorted by ``conv``, names without null."""
     if not len(conv):
         return []
-    before = conv.shift()
-    new = ~((conv == before) | (conv.isna() & before.isna())).to_numpy(bool)
-    new[0] = True
+    names = conv.to_numpy()
+    new = np.ones(len(names), bool)
+    new[1:] = names[1:] != names[:-1]
     begins = np.flatnonzero(new)
     return list(zip(begins.tolist(), [*begins[1:].tolist(), len(conv)]))
 
@@ -173,34 +173,37 @@ def repair(
     """
     known = F.create_map(*(F.lit(x) for pair in NAMES.items() for x in pair))
     role = lower_ascii(F.trim(F.coalesce(F.col(role_col), F.lit(""))))
+    # pandas makes whole numbers with nulls among them fractions, so it gets names instead.
     rows = turns.select(
         F.col(conv_col).alias("conv"),
         F.col(turn_col).alias("turn"),
         F.coalesce(F.element_at(known, role), F.lit(0)).cast("int").alias("code"),
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
+        _name(turns, conv_col).alias("name"),
     )
-    # Rows that agree whole share a key. Texts travel once, to meet the rows of their key.
-    rows = rows.withColumn("key", F.unhex(F.md5(F.to_json(F.struct("conv", "turn", "code", "text")))))
-    texts = rows.select("key", "text").dropDuplicates(["key"])
+    # Rows that agree whole share a key. Texts travel once, to meet the rows of their key,
+    # and with them the conversation and turn as they were.
+    whole = F.struct("name", _name(turns, turn_col).alias("turn"), "code", "text")
+    rows = rows.withColumn("key", F.unhex(F.md5(F.to_json(whole))))
+    texts = rows.select("key", "conv", "turn", "text").dropDuplicates(["key"])
     order = ["conv", "turn", "code", "key"]
     light = rows.drop("text").withColumn("copy", F.monotonically_increasing_id())
     light = light.repartitionByRange(*order, "copy").sortWithinPartitions(*order)
     light = written(
-        light.drop("copy")
+        light.drop("copy", "conv", "turn")
         .withColumn("position", F.monotonically_increasing_id())
         .withColumn("part", F.spark_partition_id())
     )
     shared = turns.sparkSession.sparkContext.broadcast(_entries(_boundaries(light)))
-    types = {name: light.schema[name].dataType.simpleString() for name in ("conv", "turn")}
     schema = (
-        f"conv {types['conv']}, turn {types['turn']}, key binary, position long, state int, "
-        "action string, inserted int, first boolean, last boolean"
+        "key binary, position long, state int, action string, inserted int, first boolean, "
+        "last boolean"
     )
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("position", ignore_index=True)
         entry = shared.value[int(frame["part"].iloc[0])]
-        runs = _runs(frame["conv"])
+        runs = _runs(frame["name"])
         code = frame["code"].to_numpy()
         states, actions, inserted = [], [], []
         first, last = np.zeros(len(frame), bool), np.zeros(len(frame), bool)
@@ -216,7 +219,7 @@ def repair(
                 actions.append(action)
                 inserted.append(empty)
                 before = state
-        return frame[["conv", "turn", "key", "position"]].assign(
+        return frame[["key", "position"]].assign(
             state=states, action=actions, inserted=inserted, first=first, last=last
         )
 
@@ -224,6 +227,14 @@ def repair(
     return _rendered(found.join(texts, "key"), conv_col, turn_col)
 
 
+def _name(rows: DataFrame, name: str) -> Column:
+    """A column's values as text, one for each, and never null."""
+    value = F.col(name)
+    binary = dict(rows.dtypes)[name] == "binary"
+    text = F.hex(value) if binary else value.cast("string")
+    return F.coalesce(F.concat(F.lit("="), text), F.lit("null"))
+
+
 def _boundaries(rows: DataFrame) -> list[dict]:
     """Of each partition, in order: how many conversations it has, the first and the last
     one, and the matrices of these two."""
@@ -232,22 +243,19 @@ def _boundaries(rows: DataFrame) -> list[dict]:
         "first_matrix array<long>, last_matrix array<long>"
     )
 
-    def name(value) -> str:
-        return "null" if pd.isna(value) else f"={value}"
-
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values("position", ignore_index=True)
-        runs = _runs(frame["conv"])
+        runs = _runs(frame["name"])
         code = frame["code"].to_numpy()
         first, last = (stretch(code[a:b]).ravel().tolist() for a, b in (runs[0], runs[-1]))
         line = (
             int(frame["part"].iloc[0]), int(frame["position"].iloc[0]), len(runs),
-            name(frame["conv"].iloc[0]), name(frame["conv"].iloc[-1]), first, last,
+            frame["name"].iloc[0], frame["name"].iloc[-1], first, last,
         )
         columns = "part position many first last first_matrix last_matrix".split()
         return pd.DataFrame([line], columns=columns)
 
-    found = rows.select("part", "position", "conv", "code").groupBy("part").applyInPandas(run, schema)
+    found = rows.select("part", "position", "name", "code").groupBy("part").applyInPandas(run, schema)
     return [row.asDict() for row in sorted(found.collect(), key=lambda row: row.position)]
 
 

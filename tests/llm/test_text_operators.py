@@ -222,3 +222,24 @@ def test_repeated_and_null_rows_of_a_conversation(spark):
 def test_no_conversations(spark):
     turns = spark.createDataFrame([], "conv_id long, turn int, role string, text string")
     assert chat.repair(turns, "conv_id", "turn", "role", "text").collect() == []
+
+
+def test_null_and_large_conversations_over_partitions(spark):
+    large = 2**53
+    rows = [(c, t, ("user", "assistant")[t % 2], f"{c}-{t}") for c in (5, large, large + 1) for t in range(100)]
+    rows += [(None, t, ("user", "assistant")[t % 2], f"null-{t}") for t in range(60)]
+    rows += [(large + 2, None, "user", "n"), (large + 2, large + 1, "assistant", "l")]
+    turns = spark.createDataFrame(rows, "conv long, turn long, role string, text string")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = chat.repair(turns, "conv", "turn", "role", "text").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sorted(map(repr, ((r.conv, r.turn) for r in found))) == sorted(map(repr, (r[:2] for r in rows)))
+    assert {(r.role, r.action, r.inserted, r.closing) for r in found} == {
+        ("user", "keep", None, None), ("assistant", "keep", None, None),
+    }
+    for conv in {r[0] for r in rows}:
+        own = sorted((r for r in found if r.conv == conv), key=lambda r: r.position)
+        given = sorted((r for r in rows if r[0] == conv), key=lambda r: (r[1] is not None, r[1]))
+        assert _turns("".join(r.rendered for r in own)) == [(r[2], r[3] + "\n") for r in given]
