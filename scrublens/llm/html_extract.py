@@ -28,7 +28,15 @@ DROPPED = frozenset(
     "head title script style noscript template svg math iframe object select textarea button "
     "canvas audio video".split()
 )
-BOILERPLATE = frozenset("nav header footer aside form menu dialog".split())
+#: Elements of other vocabularies, and others whose text is dropped, that a slash closes. A
+#: slash means nothing to scripts and the like, as in browsers.
+FOREIGN = frozenset(["svg", "math"])
+CLOSED_BY_SLASH = FOREIGN | frozenset("iframe object select button canvas audio video".split())
+#: Elements that may stand in a head; any other one, and text, ends it.
+IN_HEAD = frozenset(
+    "base basefont bgsound head link meta noframes noscript script style template title".split()
+)
+BOILERPLATE = frozenset("nav header footer aside menu dialog".split())
 CONTENT = frozenset("article main".split())
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog div dl dt fieldset "
@@ -56,9 +64,13 @@ CLOSES = {
     "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"},
 }
 
+#: What the elements around a block say. A form may be round a whole page, so it says little,
+#: and what stands in it may say other than it.
+NOT_TEXT, FORM, UNKNOWN, TEXT = -2, -1, 0, 1
 #: Costs: an element that tells, and labels that differ between neighbours, a block and its
 #: element, an element and its parent.
-REGION, ADJACENT, IN_ELEMENT, IN_PARENT = 120, 10, 20, 10
+REGION = {NOT_TEXT: -120, FORM: -35, UNKNOWN: 0, TEXT: 120}
+ADJACENT, IN_ELEMENT, IN_PARENT = 10, 20, 10
 
 _NAME = re.compile(r"[a-z]+")
 
@@ -91,8 +103,8 @@ class Page(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.blocks: list[Block] = []
         self.parents = [-1]
-        # tag, element, region (-1 boilerplate, 0 unknown, 1 content) and whether text is dropped
-        self.stack: list[tuple[str, int, int, bool]] = [("", 0, 0, False)]
+        # tag, element, region and whether text is dropped
+        self.stack: list[tuple[str, int, int, bool]] = [("", 0, UNKNOWN, False)]
         self.open: Counter[str] = Counter()
         self.current: Block | None = None
 
@@ -104,6 +116,8 @@ class Page(HTMLParser):
                 return
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if self.stack[-1][0] == "head" and tag not in IN_HEAD or tag == "body" and self.open["head"] > 0:
+            self.pop_to({"head"})
         if tag in BLOCK:
             self.current = None
             if self.open["p"] > 0:
@@ -119,17 +133,19 @@ class Page(HTMLParser):
         given = dict(attrs)
         names = _names(given) if tag not in ("html", "body") else set()
         role = (given.get("role") or "").lower()
-        if region >= 0:
+        if region != NOT_TEXT:
             if tag in BOILERPLATE or role in BOILERPLATE_ROLES:
-                region = -1
+                region = NOT_TEXT
             elif tag in CONTENT or role in CONTENT_ROLES:
-                region = -1 if names & {"comment", "comments"} else 1
+                region = NOT_TEXT if names & {"comment", "comments"} else TEXT
             elif names & BOILERPLATE_NAMES and not names & CONTENT_NAMES:
-                region = -1
+                region = NOT_TEXT
             elif names & {"comment", "comments"}:
-                region = -1
+                region = NOT_TEXT
+            elif tag == "form":
+                region = FORM
             elif names & CONTENT_NAMES:
-                region = 1
+                region = TEXT
         hidden = "hidden" in given
         if tag in BLOCK:
             self.parents.append(parent)
@@ -138,7 +154,10 @@ class Page(HTMLParser):
         self.open[tag] += 1
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        foreign = any(self.open[name] > 0 for name in FOREIGN)
         self.handle_starttag(tag, attrs)
+        if tag not in VOID and (foreign or tag in CLOSED_BY_SLASH):
+            self.handle_endtag(tag)
 
     def handle_endtag(self, tag: str) -> None:
         if tag in BLOCK:
@@ -147,7 +166,9 @@ class Page(HTMLParser):
             self.pop_to({tag})
 
     def handle_data(self, data: str) -> None:
-        tag, element, region, dropped = self.stack[-1]
+        if self.stack[-1][0] == "head" and data.strip():
+            self.pop_to({"head"})
+        _, element, region, dropped = self.stack[-1]
         if dropped:
             return
         if self.current is None:
@@ -166,7 +187,7 @@ class Page(HTMLParser):
 def weight(block: Block, text: str) -> int:
     """Cost of calling the block boilerplate less that of calling it content."""
     words = text.count(" ") + 1
-    found = REGION * block.region + 2 * min(words, 40) - 15
+    found = REGION[block.region] + 2 * min(words, 40) - 15
     found -= 60 * min(block.links, len(text)) // max(len(text), 1)
     if text[-1] in ".!?…:;\"'»”":
         found += 10

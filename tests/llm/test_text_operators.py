@@ -129,6 +129,41 @@ def test_page_without_an_article_element():
     assert text.endswith("good many words.\nShort one.") and "Links" not in text and "Home" not in text
 
 
+LONG = "These are the words of a paragraph, and there are enough of them to be the text of a page."
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        f"<html><head><title>t</title><meta charset=x><body><p>{LONG}</p></body></html>",
+        f"<html><head><title>t</title><style>p{{}}</style><p>{LONG}</p></html>",
+        f"<head><title>t</title><div><p>{LONG}</p></div>",
+        f"<head><title>t</title>{LONG}",
+        f"<body><article><svg viewBox='0 0 1 1'/><p>{LONG}</p></article></body>",
+        f"<body><article><svg><g/><path d=x /></svg><iframe src=x /><button/><p>{LONG}</p></article></body>",
+        f"<body><form id=aspnetForm><article><p>{LONG}</p></article></form></body>",
+        f"<body><form><div id=content><p>{LONG}</p></div></form></body>",
+        f"<body><form><nav><p>{LONG}</p></nav><main><p>{LONG}</p></main></form></body>",
+    ],
+)
+def test_left_out_tags_and_forms_round_the_page(page):
+    assert html_extract.main_text(page) == LONG
+
+
+def test_long_texts_outweigh_a_form():
+    text = " ".join([LONG] * 3)
+    short = "A short line between them."
+    page = f"<body><form><div><p>{text}</p><p>{short}</p><p>{text}</p></div></form></body>"
+    assert html_extract.main_text(page) == f"{text}\n{short}\n{text}"
+
+
+def test_forms_that_stay_out():
+    fields = "<form><p>Your name, please.</p><label>Mail</label><button>Send</button></form>"
+    assert html_extract.main_text(f"<body><article><p>{LONG}</p></article>{fields}</body>") == LONG
+    for form in ("<form class=newsletter-form>", "<form role=search>", "<nav><form>"):
+        assert html_extract.main_text(f"<body><article><p>{LONG}</p></article>{form}<p>{LONG}</p></form>") == LONG
+
+
 def test_odd_pages(spark):
     deep = "<div>" * 20_000 + "<p>Deep words stand here, and they are quite a few of them.</p>"
     pages = [None, "", "<", "<!-- only -->", "<p", deep, "<article>" + "<p>x" * 5000]
