@@ -122,6 +122,23 @@ def test_planted_passages_are_found_and_others_left(spark):
     assert none.count() == 0
 
 
+def _found(spark, items, docs):
+    items = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    found = decontamination.contaminated(rows, "doc_id", "text", items, "item_id", "text").collect()
+    return {(r.doc_id, r.item_id) for r in found}
+
+
+def test_names_do_not_depend_on_what_stands_before(spark):
+    france = "What is the capital city of France?"
+    tom = "Tom runs 5 km in the park before school. Tom rests and then runs 3 km home again."
+    slots = "In the morning Anna, Bert, Carla, Dora and Emil carry 12 boxes to the house and eat lunch there."
+    docs = ["Question: " + france, "read this now " + france, tom.replace("Tom", "Mia"), tom.replace("Tom", "Mary Ann")]
+    docs += [slots.replace(" ", "\n"), slots.lower(), slots.lower().replace("12", "31"), "x\u00a0" + slots.replace(" ", "\u00a0")]
+    found = _found(spark, [france, tom, slots], [*docs, "Some clean words of a text that holds none of them."])
+    assert found == {(0, 0), (1, 0), (2, 1), (3, 1), (4, 2), (5, 2), (6, 2), (7, 2)}
+
+
 def test_verbatim_passages_of_the_benchmark(spark):
     found = {(r.doc_id, r.item_id) for r in queries.op2_decontaminate(spark, SF_DIR).collect()}
 
