@@ -139,6 +139,17 @@ def test_names_do_not_depend_on_what_stands_before(spark):
     assert found == {(0, 0), (1, 0), (2, 1), (3, 1), (4, 2), (5, 2), (6, 2), (7, 2)}
 
 
+def test_no_item_is_left_out(spark):
+    items = [
+        "What Was The First Name Of The Famous Author Of This Book",
+        "12 km + 7 km = 19 km",
+        "Define entropy.",
+        "\u6cd5\u56fd\u7684\u9996\u90fd\u662f\u54ea\u91cc\uff1f",
+    ]
+    docs = [f"Words before. {item} Words after it." for item in items[:3]] + ["\u95ee\u9898\uff1a" + items[3] + "\u7b54\u6848"]
+    assert _found(spark, items, [*docs, "Words before. Words after it."]) == {(i, i) for i in range(4)}
+
+
 def test_verbatim_passages_of_the_benchmark(spark):
     found = {(r.doc_id, r.item_id) for r in queries.op2_decontaminate(spark, SF_DIR).collect()}
 
