@@ -150,6 +150,14 @@ def test_no_item_is_left_out(spark):
     assert _found(spark, items, [*docs, "Words before. Words after it."]) == {(i, i) for i in range(4)}
 
 
+def test_passages_with_words_put_in_and_halves(spark):
+    long, longer = (" ".join(f"{stem}{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(n)) for stem, n in (("wo", 24), ("za", 200)))
+    words = long.split()
+    docs = [" ".join([*words[:12], "extra", *words[12:]]), " ".join([*words[:11], *words[13:]]), " ".join(words[:14])]
+    docs += ["before " + " ".join(longer.split()[50:63]) + " after", "before " + " ".join(longer.split()[50:62]) + " after"]
+    assert _found(spark, [long, longer], docs) == {(0, 0), (1, 0), (2, 0), (3, 1)}
+
+
 def test_verbatim_passages_of_the_benchmark(spark):
     found = {(r.doc_id, r.item_id) for r in queries.op2_decontaminate(spark, SF_DIR).collect()}
 
