@@ -85,7 +85,8 @@ class Encoder:
     The vocabulary splits words at white space, so a single space between two other
     characters begins a new unit. Units recur, and their ids are remembered, up to
     ``MEMORY`` of them; the table is then begun anew. Long units go to the tokenizer
-    itself, others to a faster reader of the same vocabulary.
+    itself, others to a faster reader of the same vocabulary. That reader knows no added
+    tokens, so a text that holds one goes to the tokenizer whole.
     """
 
     MEMORY = 400_000
@@ -99,7 +100,8 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(public_tokenizers.path(f"{name}.json"))
-        self.whole.encode_special_tokens = True
+        added = sorted({t.content for t in self.whole.get_added_tokens_decoder().values() if t.content})
+        self.added = re.compile("|".join(map(re.escape, added))) if added else None
         with open(public_tokenizers.path(f"{name}.tiktoken"), "rb") as file:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, file)}
         self.short = tiktoken.Encoding(
@@ -115,6 +117,8 @@ class Encoder:
         return np.array(ids, "<u4").tobytes()
 
     def __call__(self, text: str) -> bytes:
+        if self.added and self.added.search(text):
+            return np.array(self.whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
         if len(self.known) > self.MEMORY:
             self.known.clear()
         if _SPACES.search(text):

@@ -107,6 +107,18 @@ def test_pieces_hold_each_token_once(spark, odd):
     assert packing.pack(odd, "doc_id", "text").filter("start = 0").count() == len(ODD)
 
 
+def test_added_tokens_in_a_text_are_one_id():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    encode = packing.Encoder("byte_bpe_50k")
+    for text in ("x <|endoftext|>y", "<|endoftext|>", "a  <|endoftext|>\n b", "plain <|endoftex words"):
+        want = whole.encode(text, add_special_tokens=False).ids
+        assert np.frombuffer(encode(text), "<u4").tolist() == want
+    assert 50256 in np.frombuffer(encode("x <|endoftext|>y"), "<u4")
+
+
 def test_planted_passages_are_found_and_others_left(spark):
     item = "If Anna buys 12 apples and 5 pears at the market on Monday, how many pieces of fruit does she carry home?"
     other = item.replace("12", "31").replace("Anna", "Peter")
