@@ -10,6 +10,9 @@ from pyspark.sql import functions as F
 
 from scrublens.llm import (
     chat,
+    chunk_fingerprint,
+    conversation_repair,
+    conversation_trie,
     decontamination,
     exact_dedup,
     html_extract,
@@ -97,6 +100,33 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op11_chunk_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunk_fingerprint.compare_with_next(table(spark, sf_dir, "documents"), "doc_id", "text")
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    damaged = conversation_repair.damaged(turns, "conv_id", "turn", "role", "text")
+    return conversation_repair.repair(damaged, "conv_id", "turn", "role", "text")
+
+
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = table(spark, sf_dir, "conversations")
+    own = conversation_trie.turn_sequences(turns, "conv_id", "turn", "role", "text")
+    base = own.filter("conv % 20 = 0").select(
+        F.col("conv").alias("base"), F.slice("turns", 1, 3).alias("opening")
+    )
+    head = (F.crc32(F.col("conv").cast("string").cast("binary")) % 4).cast("int")
+    rebuilt = own.join(base, F.col("conv") - F.col("conv") % 20 == F.col("base"), "left").select(
+        "conv",
+        F.concat(
+            F.slice(F.coalesce("opening", F.expr("array()").cast("array<string>")), F.lit(1), head),
+            F.slice("turns", head + 1, F.size("turns")),
+        ).alias("turns"),
+    )
+    return conversation_trie.prefix_trie(rebuilt).drop("turn")
+
+
 QUERIES: dict[str, Query] = {
     "op1_exact_dedup": op1_exact_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -108,6 +138,9 @@ QUERIES: dict[str, Query] = {
     "op8_chat_format": op8_chat_format,
     "op9_simhash": op9_simhash,
     "op10_language_id": op10_language_id,
+    "op11_chunk_fingerprints": op11_chunk_fingerprints,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 
 _VALUES = ", ".join(f"('{r.action}', '{r.host}', '{r.path}')" for r in URL_RULES)
