@@ -59,8 +59,19 @@ SEE_MORE = ("더보기", "더 보기")
 _OCTET = "(?:25[0-5]|2[0-4][0-9]|[01]?[0-9][0-9]?)"
 _OCTET_V6 = "(?:25[0-5]|(?:2[0-4]|1{0,1}[0-9]){0,1}[0-9])"
 _H = "[0-9a-fA-F]{1,4}"
-_HOST = r"(?:www\.)?[\p{Nd}a-z.\-]+\.[a-z]{2,6}"
+_HOST_CHARS = r"a-z0-9.\-\p{Nd}"
+# A leading "www." is made of host characters and needs no part of its own.
+_HOST = rf"[{_HOST_CHARS}]+\.[a-z]{{2,6}}"
 _IPV4 = rf"(?:{_OCTET}\.){{3}}{_OCTET}"
+_PORT = (
+    ":[0-9]{1,4}|[1-5][0-9]{4}|6[0-4][0-9]{3}|65[0-4][0-9]{2}|655[0-2][0-9]|6553[0-5]"
+)
+_PATH = rf"(?:/[{WORD}./\-]*)?"
+# Word boundaries, spelled out because \b depends on the Java version.
+_TAIL_EDGE = f"(?:(?<![{WORD}])(?=[{WORD}])|(?<=[{WORD}])(?![{WORD}]))"
+_TAIL = f"(?:{_PORT})?{_PATH}{_TAIL_EDGE}"
+# A zone may be long; a host that follows it at once begins within it, so it is tried here.
+_AFTER_ZONE = f"(?:(?>{_TAIL}){_HOST})?"
 _IPV6 = "|".join(
     (
         f"(?:{_H}:){{7}}{_H}",
@@ -72,26 +83,16 @@ _IPV6 = "|".join(
         f"(?:{_H}:){{1,2}}(?::{_H}){{1,5}}",
         f"{_H}:(?::{_H}){{1,6}}",
         f":(?:(?::{_H}){{1,7}}|:)",
-        "fe80:(?::[0-9a-fA-F]{0,4}){0,4}%[0-9a-zA-Z]+",
+        "fe80:(?::[0-9a-fA-F]{0,4}){0,4}%[0-9a-zA-Z]+" + _AFTER_ZONE,
         rf"::(?:ffff(?::0{{1,4}}){{0,1}}:){{0,1}}(?:{_OCTET_V6}\.){{3}}{_OCTET_V6}",
         rf"(?:{_H}:){{1,4}}:(?:{_OCTET_V6}\.){{3}}{_OCTET_V6}",
     )
 )
-_PORT = (
-    ":[0-9]{1,4}|[1-5][0-9]{4}|6[0-4][0-9]{3}|65[0-4][0-9]{2}|655[0-2][0-9]|6553[0-5]"
+# What every address has somewhere: a dot before two letters or between digits, or a colon next
+# to another one or between hexadecimal digits. Most cells have none, and this is quick to see.
+_ANY_URL = (
+    r"[.:](?:(?<=\.)[a-z]{2}|(?<=[0-9]\.)[0-9]|(?<=::)|(?<=[0-9a-fA-F]:)[0-9a-fA-F%])"
 )
-_PATH = rf"(?:/[{WORD}./\-]*)?"
-# Word boundaries, spelled out because \b depends on the Java version; the first with
-# only the characters an address can begin with.
-_HEAD_EDGE = rf"(?:(?<![{WORD}])(?=[\p{{Nd}}a-zA-F])|(?=[.:\-])(?<=[{WORD}]))"
-_TAIL_EDGE = f"(?:(?<![{WORD}])(?=[{WORD}])|(?<=[{WORD}])(?![{WORD}]))"
-# Whatever matches has a dot or colon as its first character outside this class;
-# the look-ahead rules out plain words before the alternatives are tried.
-_URL_HEAD = r"(?=[\p{Nd}a-zA-F\-]*+[.:])"
-URL = f"{_URL_HEAD}(?:https?://)?(?:{_HOST}|{_IPV4}|(?:{_IPV6}))(?:{_PORT})?{_PATH}{_TAIL_EDGE}"
-# A long run that the look-ahead rules out is stepped over as a whole (and kept), lest it
-# be looked through again from each of its hyphens.
-_URL_OR_RUN = rf"{_HEAD_EDGE}(?:{URL}|([\p{{Nd}}a-zA-F\-]{{64,}}+(?![.:])))"
 
 # Markdown markers by tag name; a closing tag has a leading "/". Tags that are not
 # listed vanish. A blank stands where a block begins or ends.
@@ -110,6 +111,27 @@ TAG_MARKERS = {
 }
 # ----------------------------------------------------------------------------
 
+# Addresses, one look at each maximal run of host characters. Whether a host can end at a dot
+# does not depend on where it began, and a host takes the last dot that will do. So of all
+# beginnings in a run only the first matters: what the run has before it is group 1, and if
+# none of the run fits from there, none fits from later on.
+_RUN_START = (
+    rf"(?=[{_HOST_CHARS}])"
+    # A run that began within the address before (its port, or the end of an IPv6 one).
+    rf"(?:(?<![{_HOST_CHARS}])|\G(?<=[^{_HOST_CHARS}][{_HOST_CHARS}]{{1,16}}))"
+    r"(?=[a-z0-9\-\p{Nd}]*+\.)"
+)
+_BEFORE_HOST = rf"((?<=[{WORD}])[a-z0-9\p{{Nd}}]*+|(?<![{WORD}])[.\-]*+)"
+# The addresses of numbers are short, so they can be tried at every word boundary.
+_NUMBERS = rf"(?:(?=[0-9]{{1,3}}\.){_IPV4}|(?=[0-9a-fA-F]{{0,4}}+:)(?:{_IPV6}))"
+_NUMBERS_START = rf"(?:(?=[0-9a-fA-F])(?<![{WORD}])|(?=:)(?<=[{WORD}]))"
+_SCHEME = rf"(?=h)(?<![{WORD}])https?://"
+_URL = (
+    f"(?:{_SCHEME}(?:{_HOST}|{_NUMBERS}){_TAIL}"
+    f"|{_RUN_START}{_BEFORE_HOST}{_HOST}{_TAIL}"
+    f"|{_NUMBERS_START}{_NUMBERS}{_TAIL})"
+)
+
 # The rest of a tag after its name. A quoted value may hold angle brackets; where quotes do
 # not balance, the tag ends at the first bracket.
 _REST = r"""(?:[^<>=]++|=\s*+"[^"]*+"|=\s*+'[^']*+'|=++)*+>"""
@@ -195,7 +217,11 @@ def strip_tags(text: Column) -> Column:
 def delete_urls(text: Column) -> Column:
     """Delete web addresses: host names, IPv4 and IPv6, with port and path. A query
     string is not part of the match, nor is a trailing ``/``."""
-    return F.regexp_replace(text, _URL_OR_RUN, "$1")
+
+    def without(cell: Column) -> Column:
+        return F.when(cell.rlike(_ANY_URL), F.regexp_replace(cell, _URL, "$1")).otherwise(cell)
+
+    return bind(text, without)
 
 
 def delete_emails(text: Column) -> Column:

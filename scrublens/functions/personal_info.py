@@ -2,7 +2,9 @@
 and delete them, mask them, or drop the lines that hold them.
 
 All of it is JVM-side expressions: one regex scan per pattern, then a fold over
-the (usually empty) list of matches.
+the (usually short) list of matches. Where the list is long, a test in linear time tells
+whether the fold would change anything but the matches where they stand; if not, the cell
+is split at the matches and put together again.
 """
 
 from __future__ import annotations
@@ -20,33 +22,39 @@ from scrublens.functions.charclass import SPACE, WORD, bind
 
 @dataclass(frozen=True)
 class Pattern:
-    """A regex, and a literal every match must hold (a cheap test to skip a scan)."""
+    """A regex, a literal every match must hold (a cheap test to skip a scan), and the body
+    of a class of all characters a match can be made of (None: any)."""
 
     name: str
     regex: str
     needs: str | None = None
+    chars: str | None = None
 
 
 _GAP = f"[{SPACE}]*+"  # \s*; what follows is never whitespace, so it need not give back
 
 # --- fixed values -----------------------------------------------------------
-CARD = Pattern("card", "[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{4}", needs="-")
+CARD = Pattern("card", "[0-9]{4}-[0-9]{4}-[0-9]{4}-[0-9]{4}", needs="-", chars=r"0-9\-")
 
-RESIDENT_NO = Pattern("resident_no", f"[0-9]{{6}}{_GAP}-{_GAP}[0-9]{{7}}", needs="-")
+RESIDENT_NO = Pattern(
+    "resident_no", f"[0-9]{{6}}{_GAP}-{_GAP}[0-9]{{7}}", needs="-", chars=rf"0-9\-{SPACE}"
+)
 
+_HYPHEN = f"{_GAP}-{_GAP}"
+_EXTENSION = f"{_GAP}[~∼,-]{_GAP}[0-9]{{1,4}}"
 PHONE = Pattern(
     "phone",
     "(?=[0-9])(?:"
     + "|".join(
-        alternative.replace("~s", _GAP)
-        for alternative in (
-            "[0-9]{2,3}~s-~s[0-9]{3,4}~s-~s[0-9]{4}~s[~∼,-]~s[0-9]{1,4}",
-            "[0-9]{3}~s-~s[0-9]{4}~s[~∼,-]~s[0-9]{1,4}",
-            "[0-9]{2,3}~s-~s[0-9]{3,4}~s-~s[0-9]{4}",
-            "[0-9]{2,3}~s[0-9]{3,4}~s[0-9]{4}",
+        (
+            f"[0-9]{{2,3}}{_HYPHEN}[0-9]{{3,4}}{_HYPHEN}[0-9]{{4}}{_EXTENSION}",
+            f"[0-9]{{3}}{_HYPHEN}[0-9]{{4}}{_EXTENSION}",
+            f"[0-9]{{2,3}}{_HYPHEN}[0-9]{{3,4}}{_HYPHEN}[0-9]{{4}}",
+            f"[0-9]{{2,3}}{_GAP}[0-9]{{3,4}}{_GAP}[0-9]{{4}}",
         )
     )
     + ")",
+    chars=rf"0-9~∼,\-{SPACE}",
 )
 
 # Digit runs of 11 to 13, hyphenated groups, and groups followed by a digit run;
@@ -76,6 +84,7 @@ ACCOUNT = Pattern(
         )
     )
     + ")",
+    chars=r"\p{Nd},\-",
 )
 
 # A match cannot start inside a run of these characters, unless right after the match
@@ -85,6 +94,7 @@ EMAIL = Pattern(
     "email",
     r"(?!(?<=[a-z0-9.\-+_])(?!\G))[a-z0-9.\-+_]++@[a-z0-9.\-+_]+\.[a-z]+",
     needs="@",
+    chars=r"a-z0-9.\-+_@",
 )
 
 NUMBER_PATTERNS = (CARD, ACCOUNT, PHONE, RESIDENT_NO)
@@ -163,16 +173,100 @@ def _holds(cell: Column, pattern: Pattern) -> Column:
     return F.contains(cell, F.lit(pattern.needs))
 
 
+#: Up to so many matches are replaced one after another without a test; with more, a pass
+#: over the cell for each would cost more than the test. The result is the same.
+_FEW = 12
+#: Longest match for which the test is made, since a regex steps through its characters.
+_LONGEST = 256
+_BEGIN, _END = "\x01", "\x02"
+
+
 def _rewriter(
     pattern: Pattern, select: Callable[[Column], Column], swap: Callable[[Column], Column]
 ) -> Callable[[Column], Column]:
     """Replace every literal occurrence of each selected match, one match after another."""
+    regex = F.lit(pattern.regex)
 
     def rewrite(cell: Column) -> Column:
-        hits = select(F.regexp_extract_all(cell, F.lit(pattern.regex), F.lit(0)))
-        swapped = F.aggregate(hits, cell, lambda done, hit: F.replace(done, hit, swap(hit)))
+        def replaced(hits: Column) -> Column:
+            folded = F.aggregate(hits, cell, lambda done, hit: F.replace(done, hit, swap(hit)))
+            pieces = F.split(cell, pattern.regex, -1)
+            every_hit = F.regexp_extract_all(cell, regex, F.lit(0))
+            in_place = F.array_join(
+                F.zip_with(
+                    pieces,
+                    F.transform(every_hit, swap),
+                    lambda piece, new: F.concat(piece, F.coalesce(new, F.lit(""))),
+                ),
+                "",
+            )
+            alone = ~_occurs_elsewhere(cell, pattern, hits) & ~_joins(pieces, hits, swap)
+            return (
+                F.when(F.size(hits) == 0, cell)
+                .when(F.size(hits) <= _FEW, folded)
+                .when(alone, in_place)
+                .otherwise(folded)
+            )
+
+        swapped = bind(select(F.regexp_extract_all(cell, regex, F.lit(0))), replaced)
         if pattern.needs is None:
             return swapped
         return F.when(_holds(cell, pattern), swapped).otherwise(cell)
 
     return rewrite
+
+
+def _occurs_elsewhere(cell: Column, pattern: Pattern, hits: Column) -> Column:
+    """Whether some hit can be read anywhere but at the matches that equal it: within another
+    match, across the edge of one, or beside them. Where that cannot be told, true.
+
+    The matches are put between two marks, and all texts as long as some hit are read off, over
+    the marks, but for the matches themselves; none of these may be a hit.
+    """
+    marks = f"[{_BEGIN}{_END}]"
+    one = f"[{pattern.chars}]" if pattern.chars else f"[^{_BEGIN}{_END}]"
+
+    def texts(marked: Column, length: Column) -> Column:
+        size, rest = length.cast("string"), (length - 1).cast("string")
+        regex = F.concat(
+            F.lit(f"(?:(?<!{_BEGIN})|(?<={_BEGIN})(?!{one}{{"),
+            size,
+            F.lit(f"}}{_END}))(?=({one}(?:{marks}*+{one}){{"),
+            rest,
+            F.lit("}))"),
+        )
+        return F.regexp_extract_all(marked, regex, F.lit(1))
+
+    def found(bound: Column) -> Column:
+        marked, different = bound["marked"], bound["hits"]
+        lengths = F.array_distinct(F.transform(different, F.length))
+        read = F.flatten(F.transform(lengths, lambda length: texts(marked, length)))
+        others = F.transform(read, lambda t: F.translate(t, _BEGIN + _END, ""))
+        too_long = F.array_max(lengths) > _LONGEST
+        return F.when(too_long, True).otherwise(F.arrays_overlap(others, different))
+
+    marked = F.regexp_replace(cell, pattern.regex, f"{_BEGIN}$0{_END}")
+    bound = F.struct(marked.alias("marked"), F.array_distinct(hits).alias("hits"))
+    return F.when(cell.rlike(marks), True).otherwise(bind(bound, found))
+
+
+def _joins(pieces: Column, hits: Column, swap: Callable[[Column], Column]) -> Column:
+    """Whether deleting matches may put together the text of a hit from what was around them.
+    Masks leave marks in place, so only an empty replacement can.
+
+    Such a text would hold the last character before a match and the first one after it. The
+    pieces between matches stay, so unless one is empty these two are known.
+    """
+    def unsure(bound: Column) -> Column:
+        pieces, all_hits = bound["pieces"], bound["hits"]
+        inner = F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 2, F.lit(0)))
+        lefts = F.concat(F.array(pieces[0]), inner)
+        rights = F.concat(inner, F.array(F.element_at(pieces, -1)))
+        # An empty piece says nothing, but at the ends of the cell, where nothing can join.
+        empty = F.exists(inner, lambda piece: piece == "")
+        pairs = F.zip_with(lefts, rights, lambda a, b: F.concat(F.right(a, F.lit(1)), F.left(b, F.lit(1))))
+        pairs = F.filter(F.array_distinct(pairs), lambda pair: F.length(pair) == 2)
+        return empty | F.exists(pairs, lambda pair: F.contains(all_hits, pair))
+
+    bound = F.struct(pieces.alias("pieces"), F.array_join(hits, _BEGIN).alias("hits"))
+    return (swap(F.get(hits, 0)) == "") & bind(bound, unsure)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import html
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -185,3 +186,27 @@ def test_elements_in_comments_do_not_count(apply):
     cells = ["<!-- <b>hi</b> --> plain # text", "<!-- <b> -->", "<!-- x --><b>y</b>", "<!-- <b>"]
     assert apply(lambda c: ops.has_element(c).cast("string"), cells) == ["false", "false", "true", "false"]
     assert apply(ops.html_to_text, cells[:1]) == cells[:1]
+
+
+def test_urls_in_long_runs_take_linear_time(apply):
+    """A run of host characters is looked at once, wherever in it an address ends."""
+    cells = {
+        "a.1." * 250_000: "a.1." * 250_000,
+        "a-" * 500_000 + ".": "a-" * 500_000 + ".",
+        "Kab.com" + ".1" * 400_000: None,
+        "1.2.3.4-" * 120_000: "-" * 120_000,
+        "http://a.1." * 90_000: None,
+        "x.com " * 150_000: " " * 150_000,
+        "1::/" + "." * 900_000: None,
+        "K" + "a" * 1_000_000: "K" + "a" * 1_000_000,
+    }
+    start = time.perf_counter()
+    got = apply(ops.delete_urls, list(cells))
+    assert time.perf_counter() - start < 40
+    assert all(want is None or have == want for have, want in zip(got, cells.values()))
+
+
+def test_a_host_after_a_numeric_address(apply):
+    """It may begin within a run that began in the address before it."""
+    cells = ["AB::1.b.com", "1.2.3.4:80.b.com", "fe80::1%abcdefghijklmnopqrstuvw.b.com", "x.com12345", "a.co:8012.b.com"]
+    assert apply(ops.delete_urls, cells) == [plain.URL.sub("", c) for c in cells]

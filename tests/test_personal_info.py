@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import random
 import re
+import time
 
 import pytest
 
@@ -120,3 +122,66 @@ def test_long_runs_are_linear(apply):
     """A megabyte without any match, of the kinds a careless pattern rescans."""
     cells = ["a" * 1_000_000, "1 " * 400_000, "@" + "b" * 1_000_000, " " * 1_000_000, "-" * 1_000_000]
     assert apply(pii.mask_matches, cells) == cells
+
+
+def _one_after_another(cell: str, pattern: pii.Pattern, mask: bool) -> str:
+    """The definition: each match in turn, wherever its text can be read by then."""
+    for hit in [m[0] for m in re.finditer(plain.PATTERNS[pattern.name], cell)]:
+        cell = cell.replace(hit, re.sub(r"\w", "#", hit) if mask else "")
+    return cell
+
+
+def _crowded(count: int) -> list[str]:
+    """Cells of many numbers that repeat, touch, hold and continue each other."""
+    dice = random.Random(21)
+
+    def digits(n: int) -> str:
+        return "".join(dice.choices("012", k=n))
+
+    def number() -> str:
+        kinds = (
+            f"010-{digits(4)}-{digits(4)}", f"02-{digits(3)}-{digits(4)}", digits(dice.randint(8, 17)),
+            "-".join(digits(4) for _ in range(4)), f"{digits(6)} - 1{digits(6)}",
+            f"a{digits(2)}@b{digits(1)}.com", f"010-{digits(4)}-{digits(4)} ~ {digits(2)}",
+            f"010 - 111{digits(1)} - 11{digits(2)}",
+        )
+        return dice.choice(kinds)
+
+    cells = []
+    for _ in range(count):
+        gaps = dice.choice([[" "], ["\n"], [", "], [" ", "\n", "", ",", "-", "가", " - ", "x "]])
+        pool = [number() for _ in range(dice.randint(1, 14))]
+        cells.append("".join(dice.choice(pool) + dice.choice(gaps) for _ in range(14)))
+    return [*cells, "\x01010-1234-5678\x02 010-1234-5678"]
+
+
+@pytest.mark.parametrize("pattern", pii.ALL_PATTERNS, ids=lambda p: p.name)
+def test_replacement_by_position_is_the_fold(apply, monkeypatch, pattern):
+    monkeypatch.setattr(pii, "_FEW", 0)
+    cells = _crowded(1200)
+    got = apply(lambda c: pii.mask_matches(c, [pattern]), cells)
+    assert got == [_one_after_another(c, pattern, True) for c in cells]
+    got = apply(lambda c: pii.delete_matches(c, [pattern]), cells)
+    assert got == [_one_after_another(c, pattern, False) for c in cells]
+
+
+def test_own_pattern_with_looks_around_it(apply, monkeypatch):
+    """A pattern may find a text in one place and not in another; the fold takes both."""
+    monkeypatch.setattr(pii, "_FEW", 0)
+    own = pii.Pattern("own", "(?<=x)[0-9]+")
+    cells = ["x1 x2 1 x22 2 3", "x1x2x3 x4"]
+    assert apply(lambda c: pii.mask_matches(c, [own]), cells) == ["x# x# # x## # 3", "x#x#x# x#"]
+
+
+def test_many_matches_take_linear_time(apply):
+    dice = random.Random(22)
+    phones = [f"010-{dice.randrange(10**4):04d}-{dice.randrange(10**4):04d}" for _ in range(73_000)]
+    mails = [f"u{dice.randrange(10**6)}@x{dice.randrange(99)}.com" for _ in range(30_000)]
+    cells = [" ".join(phones), "\n".join(phones[:16_000]), " ".join(mails)]
+    start = time.perf_counter()
+    masked = apply(pii.mask_matches, cells)
+    assert [len(m) for m in masked] == [len(c) for c in cells]
+    assert not any(re.search(r"\d", m) for m in masked)
+    deleted = apply(pii.delete_matches, cells)
+    assert [len(d) for d in deleted] == [72_999, 15_999, 29_999]
+    assert time.perf_counter() - start < 60
