@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html.entities
 import operator
+import zlib
 from collections.abc import Callable, Sequence
 from functools import reduce
 
@@ -127,6 +128,8 @@ _NUMBERS = rf"(?:(?=[0-9]{{1,3}}\.){_IPV4}|(?=[0-9a-fA-F]{{0,4}}+:)(?:{_IPV6}))"
 _NUMBERS_START = rf"(?:(?=[0-9a-fA-F])(?<![{WORD}])|(?=:)(?<=[{WORD}]))"
 _SCHEME = rf"(?=h)(?<![{WORD}])https?://"
 _URL = (
+    # Nothing begins between two letters; most places are out at once.
+    "(?!(?<=[a-z])[a-z])"
     f"(?:{_SCHEME}(?:{_HOST}|{_NUMBERS}){_TAIL}"
     f"|{_RUN_START}{_BEFORE_HOST}{_HOST}{_TAIL}"
     f"|{_NUMBERS_START}{_NUMBERS}{_TAIL})"
@@ -146,11 +149,16 @@ _HIDDEN = (
 )
 _HEAD = r"(?is)<head(?:\s[^<>]*+)?>.*?(?:</head\s*+>|(?=<body\b)|\z)"
 
-_QUOTED_HREF = r"<a\s(?:[^<>]*?\s)?href\s*+=\s*+"
-_SELF_LINK = rf"(?i){_QUOTED_HREF}([\"'])([a-z+]++://[^\"'<>]++)\1[^<>]*+>\2</a\s*+>"
+# From the name of a link's tag to its address: attributes before it may hold brackets in
+# quotes, or the word href.
+_TO_HREF = (
+    r"<a(?:\s++(?!href\s*+=)[^\s<>=]++"
+    r"""(?:\s*+=\s*+(?:"[^"]*+"|'[^']*+'|[^\s<>]*+))?+)*+\s++href\s*+=\s*+"""
+)
+_SELF_LINK = rf"(?i){_TO_HREF}([\"'])([a-z+]++://[^\"'<>]++)\1{_REST}\2</a\s*+>"
 _LINK = (
-    rf"(?i){_QUOTED_HREF}(?![\"']?#)"
-    r"""(?:"([^"<>]*+)"|'([^'<>]*+)'|([^\s"'<>]++))[^<>]*+>"""
+    rf"(?i){_TO_HREF}(?![\"']?#)"
+    rf"""(?:"([^"<>]*+)"|'([^'<>]*+)'|([^\s"'<>]++)){_REST}"""
     r"((?:[^<]++|<(?!/?a\b))*+)</a\s*+>"
 )
 
@@ -159,7 +167,7 @@ _CELL_TAG = rf"(?i)<t[dh]\b{_REST}"
 
 _CHARREF = r"&(?:#[0-9]+;?|#[xX][0-9a-fA-F]+;?|[^\t\n\f <&#;]{1,32};?)"
 _CHARREF_HEAD = r"&[^\t\n\f <&;]"
-_FIELD, _ENTRY = "\x02", "\x01"
+_BUCKET, _FIELD, _ENTRY = "\x03", "\x02", "\x01"
 
 
 def unescape(text: Column) -> Column:
@@ -167,11 +175,9 @@ def unescape(text: Column) -> Column:
     the old ones written without ``;``, and numeric ones with HTML's corrections.
     """
 
-    names = _names()
-
     def decode_all(cell: Column) -> Column:
         refs = F.regexp_extract_all(cell, F.lit(_CHARREF), F.lit(0))
-        decoded = F.transform(refs, lambda ref: _decode_ref(ref, names))
+        decoded = F.transform(refs, _decode_ref)
         replaced = _interleave(F.split(cell, _CHARREF, -1), decoded)
         return F.when(cell.rlike(_CHARREF_HEAD), replaced).otherwise(cell)
 
@@ -312,41 +318,88 @@ def _interleave(between: Column, replacements: Column) -> Column:
     return F.array_join(pairs, "")
 
 
+#: Tags numbered at once. What a tag costs grows with it, what a block costs with the number
+#: of blocks; any value gives the same numbers.
+_LIST_BLOCK = 64
+
+
 def _number_lists(cell: Column) -> Column:
-    """Bullets for the items of ``<ul>``, numbers for those of ``<ol>``, by a fold over
-    the list tags with the stack of open lists: the last number given, or the bullet."""
-    bullet = F.lit(-(2**31))
+    """Bullets for the items of ``<ul>``, numbers for those of ``<ol>``: the list tags in
+    order change a stack of open lists (the last number given, or the bullet).
+
+    Stacks and marks are arrays, and an array is copied whenever it grows. So tags are taken
+    in blocks: a block sees no more of the stack than its tags can reach, and only its own
+    marks; between blocks the stack is put together again.
+    """
+    bullet, blank = F.lit(-(2**31)), F.lit(-(2**31) + 1)
+
+    def coded(tag: Column) -> Column:
+        """What a tag does, and the number before the first of the list it opens."""
+        first = F.coalesce(_attribute(tag, "start").try_cast("int"), F.lit(1)) - 1
+        return bind(
+            F.lower(F.regexp_extract(tag, "^<(/?[A-Za-z]+)", 1)),
+            lambda name: F.struct(
+                name.alias("name"),
+                F.when(name == "ol", first).when(name == "ul", bullet).alias("opened"),
+            ),
+        )
 
     def step(state: Column, tag: Column) -> Column:
-        name = F.lower(F.regexp_extract(tag, "^<(/?[A-Za-z]+)", 1))
-        lists = state["lists"]
+        name, lists = tag["name"], state["lists"]
         last = F.get(lists, F.size(lists) - 1)
-        outer = F.slice(lists, F.lit(1), F.greatest(F.size(lists) - 1, F.lit(0)))
-        first = F.coalesce(_attribute(tag, "start").try_cast("int"), F.lit(1))
+        outer = _without_last(lists, F.lit(1))
         numbered = (name == "li") & (last > bullet)
         now = (
-            F.when(name == "ol", F.concat(lists, F.array(first - 1)))
-            .when(name == "ul", F.concat(lists, F.array(bullet)))
+            F.when(tag["opened"].isNotNull(), F.concat(lists, F.array(tag["opened"])))
             .when(name.isin("/ol", "/ul"), outer)
             .when(numbered, F.concat(outer, F.array(last + 1)))
             .otherwise(lists)
         )
-        mark = (
-            F.when(numbered, F.concat(F.lit(" "), (last + 1).cast("string"), F.lit(". ")))
-            .when(name == "li", F.lit(TAG_MARKERS["li"]))
-            .otherwise(F.lit(" "))
-        )
+        mark = F.when(numbered, last + 1).when(name == "li", bullet).otherwise(blank)
         marks = F.concat(state["marks"], F.array(mark))
         return F.struct(now.alias("lists"), marks.alias("marks"))
 
+    def block(state: Column, tags: Column) -> Column:
+        lists = state["lists"]
+        reach = F.least(F.size(lists), F.lit(_LIST_BLOCK))
+        top = F.slice(lists, F.size(lists) - reach + 1, reach)
+        nothing = F.from_json(F.lit("[]"), "array<int>")
+        inner = F.aggregate(
+            tags, F.struct(top.alias("lists"), nothing.alias("marks")), step, lambda end: end
+        )
+        return bind(
+            inner,
+            lambda end: F.struct(
+                F.concat(_without_last(lists, reach), end["lists"]).alias("lists"),
+                F.concat(state["marks"], F.array(end["marks"])).alias("marks"),
+            ),
+        )
+
     start = F.from_json(
-        F.lit('{"lists": [], "marks": []}'), "lists array<int>, marks array<string>"
+        F.lit('{"lists": [], "marks": []}'), "lists array<int>, marks array<array<int>>"
     )
-    tags = F.regexp_extract_all(cell, F.lit(_LIST_TAG), F.lit(0))
-    marks = F.aggregate(tags, start, step, lambda state: state["marks"])
+
+    def blocks(tags: Column) -> Column:
+        last = F.greatest(F.size(tags) - 1, F.lit(0))
+        begins = F.sequence(F.lit(0), F.floor(last / _LIST_BLOCK).cast("int"))
+        return F.transform(
+            begins, lambda i: F.slice(tags, i * _LIST_BLOCK + 1, F.lit(_LIST_BLOCK))
+        )
+
+    def written(mark: Column) -> Column:
+        number = F.concat(F.lit(" "), mark.cast("string"), F.lit(". "))
+        return F.when(mark == blank, " ").when(mark == bullet, TAG_MARKERS["li"]).otherwise(number)
+
+    tags = F.transform(F.regexp_extract_all(cell, F.lit(_LIST_TAG), F.lit(0)), coded)
+    numbers = F.aggregate(bind(tags, blocks), start, block, lambda state: F.flatten(state["marks"]))
+    marks = F.transform(numbers, written)
     return _interleave(F.split(cell, _LIST_TAG, -1), marks)
 
 
+def _without_last(items: Column, count: Column) -> Column:
+    return F.slice(items, F.lit(1), F.greatest(F.size(items) - count, F.lit(0)))
+
+
 def _rule_tables(cell: Column) -> Column:
     """Bars between the cells of a table row, a ruler below the first row."""
 
@@ -382,28 +435,40 @@ def _attribute(tag: Column, name: str) -> Column:
     return F.regexp_replace(F.regexp_extract(tag, value, 1), "^[\"']|[\"']$", "")
 
 
-def _decode_ref(ref: Column, names: Column) -> Column:
-    whole = F.when(F.endswith(ref, F.lit(";")), F.element_at(names, ref))
-    named = F.coalesce(whole, _decode_old(ref, names))
+def _decode_ref(ref: Column) -> Column:
+    whole = F.when(F.endswith(ref, F.lit(";")), _looked_up(_NAMES, ref))
+    usual = F.element_at(_literal_map({name: _NAMES[name] for name in _USUAL}), ref)
+    named = F.coalesce(usual, whole, _decode_old(ref))
     return F.when(F.startswith(ref, F.lit("&#")), _decode_number(ref)).otherwise(named)
 
 
-def _decode_old(ref: Column, names: Column) -> Column:
+def _decode_old(ref: Column) -> Column:
     """A reference that begins with one of the names valid without ``;``."""
     old = sorted((n for n in html.entities.html5 if not n.endswith(";")), key=len, reverse=True)
     prefix = F.regexp_extract(ref, "^&(?:" + "|".join(old) + ")", 0)
-    decoded = F.concat(F.element_at(names, prefix), F.substr(ref, F.length(prefix) + 1))
+    decoded = F.concat(_looked_up(_NAMES, prefix), F.substr(ref, F.length(prefix) + 1))
     return F.when(prefix != "", decoded).otherwise(ref)
 
 
-def _names() -> Column:
-    """All named references, the usual ones first since a lookup scans the map."""
-    usual = ("amp;", "lt;", "gt;", "quot;", "nbsp;", "apos;", "middot;", "copy;")
-    table = html.entities.html5
-    return _literal_map({"&" + name: table[name] for name in (*usual, *table)})
+_USUAL = ("&amp;", "&lt;", "&gt;", "&quot;", "&nbsp;", "&middot;", "&copy;")
+_NAMES = {"&" + name: text for name, text in html.entities.html5.items()}
+
+
+def _looked_up(entries: dict[str, str], key: Column) -> Column:
+    """The entry of ``key``, NULL if there is none. A map would be scanned from its beginning;
+    here the entries are dealt by a checksum to buckets of about one, and only that of the key
+    is looked through."""
+    count = 2 * len(entries)
+    buckets: list[list[str]] = [[] for _ in range(count)]
+    for name, text in entries.items():
+        buckets[zlib.crc32(name.encode()) % count].append(name + _FIELD + text)
+    table = F.split(F.lit(_BUCKET.join(map(_ENTRY.join, buckets))), _BUCKET, -1)
+    bucket = F.get(table, (F.crc32(key.cast("binary")) % count).cast("int"))
+    return F.element_at(F.str_to_map(bucket, F.lit(_ENTRY), F.lit(_FIELD)), key)
 
 
 def _literal_map(entries: dict[str, str]) -> Column:
+    """A map of a few entries; finding one scans it."""
     text = _ENTRY.join(key + _FIELD + value for key, value in entries.items())
     return F.str_to_map(F.lit(text), F.lit(_ENTRY), F.lit(_FIELD))
 
@@ -416,13 +481,13 @@ def _decode_number(ref: Column) -> Column:
     from_decimal = F.when(F.length(decimal) <= 7, F.concat(F.lit("0"), decimal))
     is_hex = F.lower(F.substring(ref, 3, 1)) == "x"
     number = F.when(is_hex, from_hex).otherwise(from_decimal).cast("int")
-    corrected = _literal_map({str(code): text for code, text in _corrections().items()})
+    corrections = {str(code): text for code, text in _corrections().items()}
 
     def character(code: Column) -> Column:
         valid = (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
         encoded = F.unhex(F.lpad(F.hex(code), 8, "0"))
         return F.coalesce(
-            F.element_at(corrected, code.cast("string")),
+            _looked_up(corrections, code.cast("string")),
             F.when(valid, F.decode(encoded, "UTF-32")),
             F.lit("�"),
         )

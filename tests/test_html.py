@@ -210,3 +210,55 @@ def test_a_host_after_a_numeric_address(apply):
     """It may begin within a run that began in the address before it."""
     cells = ["AB::1.b.com", "1.2.3.4:80.b.com", "fe80::1%abcdefghijklmnopqrstuvw.b.com", "x.com12345", "a.co:8012.b.com"]
     assert apply(ops.delete_urls, cells) == [plain.URL.sub("", c) for c in cells]
+
+
+def test_links_with_brackets_and_decoys(apply):
+    cells = {
+        '<a title="1>0" href="http://u.example">t</a>': "[t](http://u.example)",
+        "<a title=\"x href=y\" class=b href='z' id=\"i>j\">w</a>": "[w](z)",
+        '<a data-a="1>2" href="http://s.com" rel=">">http://s.com</a>': "http://s.com",
+        "<A  HREF = u >c</A> <a href=\"#x\">q</a>": "[c](u) q",
+        "<a title=\"x>t</a>": "t",
+    }
+    assert apply(ops.strip_tags, list(cells)) == list(cells.values())
+
+
+def _numbered(cell: str) -> list[int | None]:
+    """The number of each list item, None for a bullet, by a plain stack."""
+    import re
+
+    numbers, lists = [], []
+    for close, name, start in re.findall(r'<(/?)(ol|ul|li)(?: start="(\d+)")?>', cell):
+        if name == "li" and not close:
+            numbers.append(lists[-1] if lists else None)
+            if lists and lists[-1] is not None:
+                lists[-1] += 1
+        elif name != "li" and close:
+            lists = lists[:-1]
+        elif name != "li":
+            lists.append(None if name == "ul" else int(start or 1))
+    return numbers
+
+
+@pytest.mark.parametrize("block", [1, 3, 64])
+def test_list_numbers_do_not_depend_on_blocks(apply, monkeypatch, block):
+    import re
+
+    monkeypatch.setattr(ops, "_LIST_BLOCK", block)
+    rng = random.Random(13)
+    tags = ["<ol>", "</ol>", "<ul>", "</ul>", '<ol start="7">', "<li>", "<li>", "<li>", "</li>"]
+    cells = ["<ol>" + "".join(f"{rng.choice(tags)}x" for _ in range(rng.randint(1, 150))) for _ in range(150)]
+    found = [
+        [int(n) if n else None for n in re.findall(r"(?:(\d+)\.|\*)(?= x)", text)]
+        for text in apply(ops.strip_tags, cells)
+    ]
+    assert found == [_numbered(cell) for cell in cells]
+
+
+def test_long_lists_and_references_take_linear_time(apply):
+    cells = ["<ol>" + "<li>x" * 200_000, "<ol><li>" * 30_000, "&CounterClockwiseContourIntegral;" * 30_000]
+    cells.append("&eacute" * 100_000)
+    start = time.perf_counter()
+    got = apply(ops.strip_tags, cells)
+    assert time.perf_counter() - start < 60
+    assert got[0].rstrip().endswith("200000. x") and got[2] == "∳" * 30_000 and got[3] == "é" * 100_000
