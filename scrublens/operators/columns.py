@@ -50,16 +50,23 @@ def clean_columns(
     require_columns(df, [spec.origin for spec in columns])
     targets = None if only is None else set(only)
     exempt = set(skip)
-
-    def project(spec: ColumnSpec) -> Column:
-        value = df[_quoted(spec.origin)]
-        wanted = targets is None or spec.origin in targets
-        is_text = isinstance(df.schema[spec.origin].dataType, StringType)
-        if cleaner is not None and wanted and is_text and spec.name not in exempt:
-            value = cleaner(value)
-        return value.alias(spec.name)
-
-    return df.select(*(project(spec) for spec in columns))
+    return df.select(
+        *(
+            cleaned(df, spec, None if spec.name in exempt else cleaner, targets).alias(spec.name)
+            for spec in columns
+        )
+    )
+
+
+def cleaned(
+    df: DataFrame, spec: ColumnSpec, cleaner: Cleaner | None, only: Iterable[str] | None = None
+) -> Column:
+    """The value of one output column: cleaned if it is a string and, where ``only`` is
+    given, its origin is one of these."""
+    value = df[_quoted(spec.origin)]
+    wanted = only is None or spec.origin in only
+    is_text = isinstance(df.schema[spec.origin].dataType, StringType)
+    return cleaner(value) if cleaner is not None and wanted and is_text else value
 
 
 def target_mapping(columns: Sequence[ColumnSpec], targets: Iterable[str]) -> dict[str, str]:

@@ -7,7 +7,7 @@ instead, which needs one shuffle, combines repeated ids before it, and stays lin
 when an id repeats, however often. Ids found on one side only, and NULL ids, do not
 count, as in the join.
 
-Values are compared by keys of bounded width (see :func:`value_key` and :func:`_keys`), so
+Values are compared by keys of bounded width (see :mod:`keys` and :func:`_keys`), so
 long texts are not shuffled.
 """
 
@@ -22,31 +22,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scrublens.operators.columns import column, require_columns
+from scrublens.operators.keys import as_text, digest_word, value_key
 from scrublens.operators.tables import row_bytes
 
-_SHORT = 31  # bytes; below the 32 of a digest, so the two kinds of key never meet
-
-
-def value_key(value: Column, data_type: T.DataType) -> Column:
-    """At most 32 bytes that are equal for equal values: short texts stand for
-    themselves, long ones are replaced by their SHA-256."""
-    text = _as_text(value, data_type)
-    is_short = F.octet_length(text) <= _SHORT
-    return F.when(is_short, text.cast("binary")).otherwise(F.unhex(F.sha2(text, 256)))
-
-
-def _as_text(value: Column, data_type: T.DataType) -> Column:
-    """A text that is equal for equal values."""
-    if isinstance(data_type, (T.FloatType, T.DoubleType)):
-        value = value + F.lit(0.0).cast(data_type)  # -0.0 equals 0.0
-    elif isinstance(data_type, T.TimestampType):
-        value = F.unix_micros(value)
-    elif isinstance(data_type, (T.ArrayType, T.StructType, T.MapType, T.VariantType)):
-        value = F.to_json(F.struct(value), {"ignoreNullFields": "false"})
-    elif isinstance(data_type, T.BinaryType):
-        value = F.hex(value)
-    return value.cast("string")
-
 
 def changed_pairs(
     before: DataFrame,
@@ -62,7 +40,7 @@ def changed_pairs(
     changed. An id may repeat on one side. One that repeats on both does not say which
     rows belong together, and the query fails when it meets one.
     """
-    pairs = _compared(before, after, mapping, id_col)
+    pairs = compared_pairs(before, after, mapping, id_col)
     flags = change_flags(before, after, mapping, id_col, null_safe, paired=True)
     changed = reduce(operator.or_, map(column, flags.columns[1:]))
     ids = flags.filter(changed).select(column(id_col))
@@ -85,27 +63,6 @@ def repeated_ids(before: DataFrame, after: DataFrame, id_col: str) -> DataFrame:
     return per_id.filter("b > 1 AND a > 1").select(ids)
 
 
-def joined_rows(before: DataFrame, after: DataFrame, id_col: str) -> DataFrame:
-    """One row: how many ``rows`` with an id the two tables hold together, and how many
-    ``pairs`` their join on it gives. Reads nothing but the ids and joins nothing."""
-    ids = column(id_col)
-    old = before.select(ids, F.lit(1).alias("b"), F.lit(0).alias("a"))
-    new = after.select(ids, F.lit(0).alias("b"), F.lit(1).alias("a"))
-    stacked = old.unionByName(new).filter(ids.isNotNull())
-    per_id = stacked.groupBy(ids).agg(F.sum("b").alias("b"), F.sum("a").alias("a"))
-    none = F.lit(0)
-    return per_id.agg(
-        F.coalesce(F.sum(F.col("b") + F.col("a")), none).alias("rows"),
-        F.coalesce(F.sum(_product("b", "a")), none).alias("pairs"),
-    )
-
-
-def survives_python(id_type: T.DataType) -> bool:
-    """Whether ids may pass through the driver. A timestamp may not: in the hour that
-    clocks repeat in autumn it would come back as another."""
-    return isinstance(id_type, (T.StringType, T.IntegralType, T.DecimalType, T.DateType))
-
-
 def join_sides(
     before: DataFrame, after: DataFrame, pairs: Sequence[tuple[str, str]], id_col: str
 ) -> DataFrame:
@@ -127,7 +84,7 @@ def change_flags(
 ) -> DataFrame:
     """One row per id found on both sides, with a boolean column for each mapped pair,
     named ``<origin>_changed``. With ``paired`` an id that repeats on both is an error."""
-    pairs = _compared(before, after, mapping, id_col)
+    pairs = compared_pairs(before, after, mapping, id_col)
     old = _keys(before.filter(column(id_col).isNotNull()), id_col, [o for o, _ in pairs], "before")
     new = _keys(after.filter(column(id_col).isNotNull()), id_col, [t for _, t in pairs], "after")
     is_before = F.col("side") == "before"
@@ -148,7 +105,7 @@ def count_and_compare(
     """One row with the row count and size of both tables and the number of changed
     ids, from one pass over each: ``source_count, source_size, result_count,
     result_size, matched_count``. Rows without an id are counted but not compared."""
-    pairs = _compared(before, after, mapping, id_col)
+    pairs = compared_pairs(before, after, mapping, id_col)
     old = _keys(before, id_col, [o for o, _ in pairs], "before", row_bytes(before))
     new = _keys(after, id_col, [t for _, t in pairs], "after", row_bytes(after))
     totals = []
@@ -210,7 +167,7 @@ def changed_rows_per_column(
     for each value, its rows before times its rows after. So counting values per id is
     enough. Counting by (id, column, value) first spreads a repeated id over tasks.
     """
-    pairs = _compared(before, after, mapping, id_col)
+    pairs = compared_pairs(before, after, mapping, id_col)
     stacked = _cells(before, [o for o, _ in pairs], "before", id_col).unionByName(
         _cells(after, [t for _, t in pairs], "after", id_col)
     )
@@ -240,10 +197,29 @@ def changed_columns(
     the sets alike. Every column is settled by the same shuffle, in which a value is
     sent once per column and input partition however often it occurs.
     """
-    pairs = _compared(before, after, mapping, id_col)
+    pairs = compared_pairs(before, after, mapping, id_col)
     stacked = _cells(before, [o for o, _ in pairs], "before").unionByName(
         _cells(after, [t for _, t in pairs], "after")
     )
+    return _differing(stacked, pairs)
+
+
+def changed_columns_of_pairs(paired: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    """The same from rows that hold both values, ``<origin>_before`` and
+    ``<target>_after``: one scan gives both sets."""
+    cells = [
+        F.struct(
+            F.lit(side).alias("side"),
+            F.lit(i).alias("position"),
+            value_key(column(name), paired.schema[name].dataType).alias("key"),
+        )
+        for i, (o, t) in enumerate(pairs)
+        for side, name in (("before", f"{o}_before"), ("after", f"{t}_after"))
+    ]
+    return _differing(paired.select(F.inline(F.array(*cells))), pairs)
+
+
+def _differing(stacked: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     is_before = F.col("side") == "before"
     per_value = stacked.groupBy("position", "key").agg(
         F.max(is_before).alias("b"), F.max(~is_before).alias("a")
@@ -256,7 +232,7 @@ def changed_columns(
     return _per_pair(found, pairs, flags, "differs").filter("differs").select("origin", "target")
 
 
-def _compared(
+def compared_pairs(
     before: DataFrame, after: DataFrame, mapping: Mapping[str, str], id_col: str
 ) -> list[tuple[str, str]]:
     """The mapped pairs without the id column, which identifies rows and is not diffed."""
@@ -315,11 +291,11 @@ def _keys(
     aggregation can keep their extremes without sorting.
     """
     digests = [
-        F.sha2(_as_text(column(n), df.schema[n].dataType), 256).alias(f"digest_{i}")
+        F.sha2(as_text(column(n), df.schema[n].dataType), 256).alias(f"digest_{i}")
         for i, n in enumerate(names)
     ]
     words = [
-        F.conv(F.substring(f"digest_{i}", at, 15), 16, 10).cast("long").alias(f"{word}_{i}")
+        digest_word(F.col(f"digest_{i}"), at).alias(f"{word}_{i}")
         for i in range(len(names))
         for word, at in (("high", 1), ("low", 16))
     ]

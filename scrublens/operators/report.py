@@ -14,7 +14,6 @@ from scrublens.operators.diff import (
     changed_pairs,
     join_sides,
     repeated_ids,
-    survives_python,
 )
 
 
@@ -61,7 +60,7 @@ def preview(
     """The first ``rows`` lines of the report, text cells cut to ``width`` characters.
 
     The lines are found from the ids alone; then only the rows of these, ``rows`` at
-    most, are looked up in the two tables, by a filter that reaches the scan.
+    most, are looked up in the two tables.
     """
     changed = _collect_changed(before, after, mapping, id_col)
     if not changed:
@@ -69,19 +68,15 @@ def preview(
     ids = before.select(column(id_col)).join(
         after.select(column(id_col)), on=id_col, how="left_semi"
     )
-    first = ids.distinct().orderBy(column(id_col)).limit(rows)
-    if survives_python(ids.schema[0].dataType):
-        listed = column(id_col).isin([row[0] for row in first.collect()])
-        old, new = before.filter(listed), after.filter(listed)
-    else:
-        old, new = (
-            df.join(F.broadcast(first), on=id_col, how="left_semi") for df in (before, after)
-        )
+    first = ids.distinct().orderBy(column(id_col)).limit(rows)  # so it may be broadcast
+    old, new = (
+        df.join(F.broadcast(first), on=id_col, how="left_semi") for df in (before, after)
+    )
     old = _at_most(rows, old, id_col, [origin for origin, _ in changed])
     new = _at_most(rows, new, id_col, [target for _, target in changed])
     lines = join_sides(old, new, changed, id_col)
     top = lines.orderBy(column(id_col)).limit(rows)
-    return top.select(*(_cut(top, name, width) for name in top.columns))
+    return top.select(*(cut(top, name, width) for name in top.columns))
 
 
 def _at_most(rows: int, df: DataFrame, id_col: str, names: Sequence[str]) -> DataFrame:
@@ -102,7 +97,8 @@ def _collect_changed(
     return [pair for pair in mapping.items() if pair in found]
 
 
-def _cut(df: DataFrame, name: str, width: int) -> Column:
+def cut(df: DataFrame, name: str, width: int) -> Column:
+    """A text column cut to ``width`` characters, the last three of them dots."""
     value = column(name)
     if not isinstance(df.schema[name].dataType, StringType):
         return value

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from scrublens.functions import html, personal_info, text
 from scrublens.functions.charclass import bind
-from scrublens.operators import diff, report, tables
+from scrublens.operators import diff, report, rows, tables
 from scrublens.operators.columns import (
     Cleaner,
     ColumnSpec,
@@ -221,9 +221,14 @@ def _changed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return diff.changed_columns(before, after, NEW_NAMES, "doc_id")
 
 
+def _pairs(spark: SparkSession, sf_dir: str, cleaner: Cleaner) -> DataFrame:
+    """Both values of the cells of ``documents``, whose texts are cleaned, row by row."""
+    documents = _table(spark, sf_dir, "documents")
+    return rows.pair_rows(documents, SAME_NAMES, cleaner, "doc_id", only=("text",))
+
+
 def _report_same_name(spark: SparkSession, sf_dir: str) -> DataFrame:
-    before, after = _before_after(spark, sf_dir, text.clean_space)
-    return report.change_report(before, after, SAME_NAMES, "doc_id")
+    return rows.report(_pairs(spark, sf_dir, text.clean_space), SAME_NAMES, "doc_id")
 
 
 def _report_renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -232,11 +237,21 @@ def _report_renamed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def report_only_changed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = _pairs(spark, sf_dir, personal_info.mask_matches)
+    return rows.report(pairs, SAME_NAMES, "doc_id", only_changed=True)
+
+
+def _report_only_changed_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     before, after = _before_after(spark, sf_dir, personal_info.mask_matches)
     return report.change_report(before, after, SAME_NAMES, "doc_id", only_changed=True)
 
 
 def _report_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pairs = _pairs(spark, sf_dir, text.remove_all_special)
+    return rows.preview(pairs, SAME_NAMES, "doc_id")
+
+
+def _report_preview_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     before, after = _before_after(spark, sf_dir, text.remove_all_special)
     return report.preview(before, after, SAME_NAMES, "doc_id")
 
@@ -271,10 +286,24 @@ def _clean_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dedup_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Of all rows, each twice, as after a load that ran again."""
+    documents = _table(spark, sf_dir, "documents")
+    return tables.drop_duplicate_rows(documents.unionByName(documents))
+
+
+def _dedup_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     documents = _table(spark, sf_dir, "documents").select("text", "lang")
     return tables.drop_duplicate_rows(documents)
 
 
+def _dedup_by_text_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """By two columns, keeping the row whose id is least as text; all rows come twice."""
+    documents = _table(spark, sf_dir, "documents")
+    documents = documents.withColumn("doc_id", F.col("doc_id").cast("string"))
+    twice = documents.unionByName(documents)
+    return tables.keep_first_by_key(twice, ["text", "lang"], "doc_id")
+
+
 def _dedup_by_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tables.keep_first_by_key(_table(spark, sf_dir, "documents"), ["text"], "doc_id")
 
@@ -366,7 +395,9 @@ QUERIES: dict[str, Query] = {
         _table(spark, d, "documents"), "text"
     ),
     "dedup_rows": _dedup_rows,
+    "dedup_values": _dedup_values,
     "dedup_by_key": _dedup_by_key,
+    "dedup_by_text_id": _dedup_by_text_id,
     "job_metrics": _metrics,
     # text
     "clean_space": _documents(text.clean_space),
@@ -416,7 +447,9 @@ QUERIES: dict[str, Query] = {
     "change_report_same_name": _report_same_name,
     "change_report_renamed": _report_renamed,
     "change_report_only_changed": report_only_changed,
+    "change_report_only_changed_joined": _report_only_changed_joined,
     "report_preview": _report_preview,
+    "report_preview_joined": _report_preview_joined,
     # jobs
     "job_remove_special_char_end_to_end": _job(
         "orders", "id", ORDER_COLUMNS, job.REMOVE_SPECIAL_CHAR, job.Options("some", "-T")
@@ -444,4 +477,7 @@ QUERIES: dict[str, Query] = {
     "job_remove_duplicate_row_end_to_end": _job(
         "documents", "doc_id", DOCUMENT_COLUMNS, job.REMOVE_DUPLICATE_ROW, dedup_keys=("body",)
     ),
+    "job_remove_duplicate_row_all_columns": _job(
+        "documents", "doc_id", DOCUMENT_COLUMNS, job.REMOVE_DUPLICATE_ROW
+    ),
 }

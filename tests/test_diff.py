@@ -196,7 +196,6 @@ def test_hot_id_in_reports(spark):
 
     before = spark.range(50_000).select(F.lit(7).alias("id"), F.col("id").cast("string").alias("t"))
     after = before.withColumn("t", F.concat("t", F.lit("!")))
-    assert diff.joined_rows(before, after, "id").first().pairs == 50_000**2
     assert report.preview(before, after, {"t": "t"}, "id").count() == 20
     for only_changed in (False, True):
         with pytest.raises(ValueError, match="does not identify rows"):

@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime
 
 import pytest
+from pyspark.sql import functions as F
 
 from scrublens.functions import text
 from scrublens.operators import tables
@@ -94,6 +95,8 @@ def test_keep_first_by_key(spark):
     out = tables.keep_first_by_key(df, ["k"], "id")
     assert out.columns == df.columns
     assert {tuple(r) for r in out.collect()} == {(1, "a", "b"), (None, None, "w")}
+    again = tables.keep_first_by_key(df.orderBy(F.col("v").desc()), ["k"], "id")
+    assert set(again.collect()) == set(out.collect())  # ties do not depend on the order of rows
     with pytest.raises(ValueError, match="both"):
         tables.keep_first_by_key(df, ["id"], "id")
 
@@ -130,3 +133,23 @@ def test_functions_work_on_streams(spark):
         query.stop()
     got = spark.table("cleaned").orderBy("id").collect()
     assert [tuple(r) for r in got] == [(1, "a b"), (2, "c")]
+
+
+@pytest.mark.parametrize("id_type", ["long", "string", "timestamp", "double"])
+def test_keep_first_like_a_sort(spark, id_type):
+    """Copies of whole rows, NULL keys and ids, ids of several types, clashing names."""
+    import random
+
+    dice = random.Random(3)
+    rows = [
+        (dice.choice([None, *range(-9, 9)]), dice.choice([None, "a", "b", "c" * 50]), dice.choice([None, 1.5, 2.5]), "x")
+        for _ in range(400)
+    ]
+    df = spark.createDataFrame([*rows, *rows], "_first long, k string, _HIGH double, _tie string")
+    df = df.withColumn("_first", F.col("_first").cast("int").cast(id_type))
+    out = tables.keep_first_by_key(df, ["k", "_HIGH"], "_first")
+    order = "row_number() OVER (PARTITION BY k, _HIGH ORDER BY _first)"
+    want = df.selectExpr("*", f"{order} AS n").filter("n = 1").drop("n")
+    assert sorted(map(repr, out.collect())) == sorted(map(repr, want.collect()))
+    assert out.columns == df.columns
+    assert tables.keep_first_by_key(df.limit(0), ["k"], "_first").count() == 0
