@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -26,6 +26,13 @@ def count_and_size(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("row_count"), _total_bytes(df).alias("size_bytes"))
 
 
+def observed(df: DataFrame, observation: Observation) -> DataFrame:
+    """``df``; whoever runs it gets both measures from its ``observation`` besides."""
+    return df.observe(
+        observation, F.count(F.lit(1)).alias("row_count"), _total_bytes(df).alias("size_bytes")
+    )
+
+
 def distinct_values(df: DataFrame, name: str) -> DataFrame:
     return df.select(column(name)).distinct()
 

@@ -8,6 +8,8 @@ and no Hangul. Queries that need such cells derive them from each row's own key
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
+from functools import reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +27,7 @@ from scrublens.operators.columns import (
 )
 from scrublens.plans import job
 from scrublens.sources.tables import read_table, scratch_path, write_table
+from scrublens.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -145,20 +148,33 @@ def _job(
     dedup_keys: tuple[str, ...] = (),
 ) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        spec = job.JobSpec(
-            job_type=job_type,
-            input_path=f"{sf_dir}/{table}.parquet",
-            output_path=scratch_path(spark),
-            columns=columns,
-            options=options or job.Options(),
-            id_col=key,
-            dedup_keys=dedup_keys,
-        )
+        spec = _job_spec(spark, sf_dir, table, key, columns, job_type, options, dedup_keys)
         return job.run_job(spark, spec).output
 
     return query
 
 
+def _job_spec(
+    spark: SparkSession,
+    sf_dir: str,
+    table: str,
+    key: str,
+    columns: tuple[ColumnSpec, ...],
+    job_type: str,
+    options: job.Options | None = None,
+    dedup_keys: tuple[str, ...] = (),
+) -> job.JobSpec:
+    return job.JobSpec(
+        job_type=job_type,
+        input_path=f"{sf_dir}/{table}.parquet",
+        output_path=scratch_path(spark),
+        columns=columns,
+        options=options or job.Options(),
+        id_col=key,
+        dedup_keys=dedup_keys,
+    )
+
+
 # --- before and after -------------------------------------------------------
 
 
@@ -203,7 +219,7 @@ TURN_NAMES = {"role": "role", "text": "text"}
 
 def _changed_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     before, after = _before_after(spark, sf_dir, text.clean_space)
-    return diff.changed_ids(before, after, {"text": "text", "lang": "lang"}, "doc_id")
+    return diff.changed_ids(before, after, SAME_NAMES, "doc_id")
 
 
 def _changed_rows_per_column(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -327,6 +343,94 @@ def _metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return metrics.withColumn("columns", F.array_join("columns", ",")).drop("message")
 
 
+def _saved_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report of a job, as it was saved beside its output and read again."""
+    made = _job_spec(
+        spark, sf_dir, "conversations", "conv_id", TURN_COLUMNS, job.REMOVE_SPACE_TAB_NEWLINE
+    )
+    result = job.run_job(spark, replace(made, targets=("text", "turn")))
+    return read_table(spark, result.save_report(only_changed=True))
+
+
+def _fallback_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The changed ids of a table whose id column is ``_idx``."""
+    path = scratch_path(spark)
+    write_table(_table(spark, sf_dir, "documents").withColumnRenamed("doc_id", "_idx"), path)
+    spec = job.JobSpec(
+        job_type=job.REMOVE_SPACE_TAB_NEWLINE,
+        input_path=path,
+        output_path=scratch_path(spark),
+        columns=(ColumnSpec("_idx", "_idx"), ColumnSpec("text", "body")),
+        targets=("text",),
+    )
+    return job.run_job(spark, spec).changed_ids()
+
+
+def _guarded(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The metrics of three jobs over one table: as it should be, with a column that the table
+    does not have, and with none that identifies rows."""
+    made = _job_spec(
+        spark, sf_dir, "documents", "doc_id", DOCUMENT_COLUMNS, job.REMOVE_SPACE_TAB_NEWLINE
+    )
+    specs = {
+        "right": made,
+        "column": replace(made, columns=(*DOCUMENT_COLUMNS, ColumnSpec("nothing", "x"))),
+        "id": replace(made, id_col="id", targets=("text",)),
+    }
+    found = []
+    for name, spec in specs.items():
+        spec = replace(spec, job_id=name, output_path=scratch_path(spark))
+        found.append(job.run_job(spark, spec, on_error="record").metrics)
+    names = ("job_id", "source_count", "result_count", "status")
+    return reduce(DataFrame.unionByName, found).select(*names)
+
+
+def _observed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and sizes of a job without targets, all from the write itself."""
+    made = _job_spec(
+        spark, sf_dir, "orders", "id", ORDER_COLUMNS, job.REMOVE_SPECIAL_CHAR, job.Options("all")
+    )
+    metrics = job.run_job(spark, made).metrics
+    return metrics.select("source_count", "source_size", "result_count", "result_size", "status")
+
+
+def _replaced_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table in partitions by language, of which a job cleans one again and replaces it."""
+    loaded, cleaned = scratch_path(spark), scratch_path(spark)
+    documents = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    for path in (loaded, cleaned):
+        write_table(documents, path, partition_by=["lang"])
+    spec = job.JobSpec(
+        job_type=job.REMOVE_SPECIAL_CHAR,
+        input_path=loaded,
+        output_path=cleaned,
+        columns=tuple(keep_all(documents)),
+        options=job.Options("all"),
+        id_col="doc_id",
+        mode="overwrite_partitions",
+        partition_by=("lang",),
+        where="lang = 'fr'",
+    )
+    return job.run_job(spark, spec).output
+
+
+def _incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A job over a folder that the table arrives in, in two loads, with a run after each and
+    one that finds nothing new."""
+    made = _job_spec(
+        spark, sf_dir, "documents", "doc_id", DOCUMENT_COLUMNS, job.FILTERING_PERSONAL_INFO,
+        job.Options("masking"),
+    )
+    folder, checkpoint = scratch_path(spark), scratch_path(spark)
+    documents = _table(spark, sf_dir, "documents")
+    english = F.coalesce(F.col("lang") == "en", F.lit(False))
+    made = replace(made, input_path=folder)
+    for load in (documents.filter(english), documents.filter(~english)):
+        write_table(load, folder, mode="append")
+        incremental.run_increment(spark, made, checkpoint)
+    return incremental.run_increment(spark, made, checkpoint).output
+
+
 # --- single queries ---------------------------------------------------------
 
 
@@ -477,6 +581,12 @@ QUERIES: dict[str, Query] = {
     "job_remove_duplicate_row_end_to_end": _job(
         "documents", "doc_id", DOCUMENT_COLUMNS, job.REMOVE_DUPLICATE_ROW, dedup_keys=("body",)
     ),
+    "job_saved_report": _saved_report,
+    "job_fallback_id": _fallback_id,
+    "job_guards": _guarded,
+    "job_metrics_observed": _observed_metrics,
+    "job_replaced_partitions": _replaced_partitions,
+    "job_incremental": _incremental,
     "job_remove_duplicate_row_all_columns": _job(
         "documents", "doc_id", DOCUMENT_COLUMNS, job.REMOVE_DUPLICATE_ROW
     ),

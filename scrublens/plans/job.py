@@ -6,22 +6,22 @@ from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from scrublens.functions import html, personal_info, text
 from scrublens.operators import diff, report, tables
+from scrublens.operators import rows as row_pairs
 from scrublens.operators.columns import (
     FALLBACK_ID,
     Cleaner,
     ColumnSpec,
     clean_columns,
-    column,
     rename_columns,
     resolve_id,
     target_mapping,
 )
-from scrublens.sources.tables import DEFAULT_FORMAT, read_table, write_table
+from scrublens.sources.tables import DEFAULT_FORMAT, read_table, same_columns, write_table
 
 REMOVE_SPECIAL_CHAR = "REMOVE_SPECIAL_CHAR"
 REMOVE_HTML_TAG = "REMOVE_HTML_TAG"
@@ -53,9 +53,11 @@ class JobSpec:
     fmt: str = DEFAULT_FORMAT
     dedup_keys: tuple[str, ...] = ()
     job_id: str | None = None
-    mode: str = "errorifexists"  # of the output
+    mode: str = "errorifexists"  # of the output; see sources.tables.write_table
     partition_by: tuple[str, ...] = ()  # output columns
     metrics_path: str | None = None  # a table the metrics row is added to
+    where: str | None = None  # a condition on input columns, such as its partitions
+    partitions: int | None = None  # spread the input over so many tasks
 
     def __post_init__(self) -> None:
         if self.job_type not in _CLEANERS and self.job_type != REMOVE_DUPLICATE_ROW:
@@ -68,6 +70,8 @@ class JobSpec:
         missing = set(self.partition_by) - {c.name for c in self.columns}
         if missing:
             raise ValueError(f"cannot partition by {sorted(missing)}: no output columns")
+        if self.partitions is not None and self.partitions < 1:
+            raise ValueError("the input is spread over one task at least")
         cleaner_for(self)
 
     @classmethod
@@ -104,7 +108,13 @@ class JobSpec:
 
 @dataclass(frozen=True)
 class JobResult:
-    """The tables of a finished job. Comparisons are computed when asked for."""
+    """The tables of a finished job. Comparisons are computed when asked for.
+
+    The output of a job that cleans row by row is a projection of its source, so reports and
+    changed columns take both values of a cell from the source's row and join nothing. Where
+    the output's id is not the source's, and after duplicates were removed, the tables are
+    compared by id.
+    """
 
     spec: JobSpec
     source: DataFrame
@@ -115,18 +125,35 @@ class JobResult:
     def id_col(self) -> str:
         return resolve_id(self.source, self.output, self.spec.id_col)
 
+    @property
+    def by_row(self) -> bool:
+        """Whether before and after are known row by row."""
+        cleans = self.spec.job_type != REMOVE_DUPLICATE_ROW
+        return cleans and row_pairs.keeps_rows(self.spec.columns, self.id_col)
+
+    def pairs(self) -> DataFrame:
+        """Both values of each mapped cell, for jobs that clean row by row."""
+        cleaner = cleaner_for(self.spec)
+        return row_pairs.pair_rows(self.source, self.spec.mapping, cleaner, self.id_col)
+
     def changed_ids(self) -> DataFrame:
         return diff.changed_ids(self.source, self.output, self.spec.mapping, self.id_col)
 
     def changed_columns(self) -> DataFrame:
+        if self.by_row:
+            return row_pairs.changed_columns(self.pairs(), self.spec.mapping, self.id_col)
         return diff.changed_columns(self.source, self.output, self.spec.mapping, self.id_col)
 
     def report(self, only_changed: bool = False) -> DataFrame | None:
+        if self.by_row:
+            return row_pairs.report(self.pairs(), self.spec.mapping, self.id_col, only_changed)
         return report.change_report(
             self.source, self.output, self.spec.mapping, self.id_col, only_changed
         )
 
     def preview(self, rows: int = 20, width: int = 20) -> DataFrame | None:
+        if self.by_row:
+            return row_pairs.preview(self.pairs(), self.spec.mapping, self.id_col, rows, width)
         return report.preview(
             self.source, self.output, self.spec.mapping, self.id_col, rows, width
         )
@@ -179,16 +206,13 @@ def run_job(spark: SparkSession, spec: JobSpec, on_error: str = "raise") -> JobR
     if on_error not in ("raise", "record"):
         raise ValueError("on_error is 'raise' or 'record'")
     try:
-        source = read_table(spark, spec.input_path, spec.fmt)
-        cleaned = clean(source, spec)
+        source = read_table(spark, spec.input_path, spec.fmt, where=spec.where)
+        if spec.partitions is not None:
+            source = source.repartition(spec.partitions)
         if spec.mapping:
-            resolve_id(source, cleaned, spec.id_col)  # before anything is written
-        write_table(cleaned, spec.output_path, spec.fmt, spec.mode, spec.partition_by)
-        # A reader puts the columns of partitions last and takes their types from the paths.
-        schema = cleaned.schema if spec.partition_by else None
-        output = read_table(spark, spec.output_path, spec.fmt, schema)
-        output = output.select(*map(column, cleaned.columns))
-        metrics = _kept(job_metrics(source, output, spec), spec)
+            resolve_id(source, clean(source, spec), spec.id_col)  # before anything is written
+        output, measured = _write(source, spec)
+        metrics = _kept(job_metrics(source, output, spec, measured), spec)
     except Exception as error:
         if on_error == "raise":
             raise
@@ -197,6 +221,29 @@ def run_job(spark: SparkSession, spec: JobSpec, on_error: str = "raise") -> JobR
     return JobResult(spec, source, output, metrics)
 
 
+def _write(source: DataFrame, spec: JobSpec) -> tuple[DataFrame, dict[str, int]]:
+    """Write the output, counting and measuring the rows as they pass. The source of a job
+    on whole rows may be read in several ways, so it is not measured here."""
+    before, after = Observation(), Observation()
+    by_row = spec.job_type != REMOVE_DUPLICATE_ROW
+    seen = tables.observed(source, before) if by_row else source
+    cleaned = clean(seen, spec)
+    wrote = write_table(
+        tables.observed(cleaned, after), spec.output_path, spec.fmt, spec.mode, spec.partition_by
+    )
+    measured = {}
+    if wrote:
+        for kind, observation in (("source", before), ("result", after)):
+            if kind == "result" or by_row:
+                found = observation.get
+                measured[f"{kind}_count"] = found["row_count"]
+                measured[f"{kind}_size"] = found["size_bytes"]
+    # A reader puts the columns of partitions last and takes their types from the paths.
+    schema = cleaned.schema if spec.partition_by else None
+    output = read_table(source.sparkSession, spec.output_path, spec.fmt, schema)
+    return same_columns(output, cleaned.columns), measured
+
+
 def _kept(metrics: DataFrame, spec: JobSpec) -> DataFrame:
     """The metrics row, added to the table of metrics if the job names one."""
     if spec.metrics_path is None:
@@ -206,20 +253,29 @@ def _kept(metrics: DataFrame, spec: JobSpec) -> DataFrame:
     return row
 
 
-def job_metrics(source: DataFrame, output: DataFrame, spec: JobSpec) -> DataFrame:
+def job_metrics(
+    source: DataFrame, output: DataFrame, spec: JobSpec, measured: Mapping[str, int] | None = None
+) -> DataFrame:
     """One row: the job's id, output columns, row counts and sizes of both tables, the number of
-    changed ids, and the status."""
+    changed ids, and the status. Counts and sizes that were ``measured`` while the output was
+    written are taken from there; only the others are read again."""
+    measured = dict(measured or {})
     id_col = resolve_id(source, output, spec.id_col) if spec.mapping else None
     mapping = {o: t for o, t in spec.mapping.items() if id_col not in (o, t)}
-    if mapping:
-        measured = diff.count_and_compare(source, output, mapping, id_col)
+    if len(measured) == 4:
+        row = source.sparkSession.range(1)
+        row = diff.matched_count(source, output, mapping, id_col) if mapping else row
+    elif mapping:
+        row = diff.count_and_compare(source, output, mapping, id_col)
     else:
         before = tables.count_and_size(source).toDF("source_count", "source_size")
         after = tables.count_and_size(output).toDF("result_count", "result_size")
         both = before.unionByName(after, allowMissingColumns=True)
-        measured = both.agg(*(F.max(name).alias(name) for name in both.columns))
-        measured = measured.withColumn("matched_count", F.lit(0).cast("long"))
-    return measured.select(
+        row = both.agg(*(F.max(name).alias(name) for name in both.columns))
+    if not mapping:
+        row = row.withColumn("matched_count", F.lit(0).cast("long"))
+    row = row.withColumns({name: F.lit(value).cast("long") for name, value in measured.items()})
+    return row.select(
         F.lit(spec.job_id).cast("string").alias("job_id"),
         F.array(*(F.lit(c.name) for c in spec.columns)).alias("columns"),
         *_MEASURES,
