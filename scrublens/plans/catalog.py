@@ -49,8 +49,15 @@ CUSTOMER_COLUMNS = (
 )
 
 
+#: Session setting: spread each table over so many partitions when it is read. A file is read
+#: by as many tasks as it has row groups, which for a small table is one. Not set: as it is.
+PARTITIONS = "spark.scrublens.partitions"
+
+
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_table(spark, f"{sf_dir}/{name}.parquet")
+    table = read_table(spark, f"{sf_dir}/{name}.parquet")
+    partitions = spark.conf.get(PARTITIONS, None)
+    return table if partitions is None else table.repartition(int(partitions))
 
 
 def _cells(spark: SparkSession, sf_dir: str, table: str, key: str, cell: str) -> DataFrame:
@@ -86,11 +93,15 @@ def with_contact(cell: Column, key: Column) -> Column:
 
 
 def story(key: Column) -> Column:
-    """HTML with Hangul: a sentence to cut, one to drop, and plain ones."""
+    """HTML with Hangul: a sentence to cut, one to drop, and plain ones; a list, a table, an
+    image, code, and brackets in quotes."""
     return F.format_string(
         "<p>첫 문장 %d 더보기 나머지. 두 번째 더 보기 끝! 뉴스 %d 제보? 본문 %d &middot; 끝.</p>"
-        "<p>mail a%d@b.example.com or see www.site%d.org now !</p>",
-        *(key,) * 5,
+        "<p>mail a%d@b.example.com or see www.site%d.org now !</p>"
+        '<ol><li>one %d<li>two</ol><table><tr><th>k<th>v</tr><tr><td>%d<td>w</tr></table>'
+        '<img alt="1 > 0" src="i%d.png"> <code>x%d</code> '
+        '<a title="2>1" href="http://u.example/%d">link</a>. <p class="a>b">last %d.</p>',
+        *(key,) * 11,
     )
 
 
@@ -164,6 +175,7 @@ def _job_spec(
     options: job.Options | None = None,
     dedup_keys: tuple[str, ...] = (),
 ) -> job.JobSpec:
+    partitions = spark.conf.get(PARTITIONS, None)
     return job.JobSpec(
         job_type=job_type,
         input_path=f"{sf_dir}/{table}.parquet",
@@ -172,6 +184,7 @@ def _job_spec(
         options=options or job.Options(),
         id_col=key,
         dedup_keys=dedup_keys,
+        partitions=int(partitions) if partitions else None,
     )
 
 
@@ -421,6 +434,7 @@ def _incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir, "documents", "doc_id", DOCUMENT_COLUMNS, job.FILTERING_PERSONAL_INFO,
         job.Options("masking"),
     )
+    made = replace(made, partitions=None)
     folder, checkpoint = scratch_path(spark), scratch_path(spark)
     documents = _table(spark, sf_dir, "documents")
     english = F.coalesce(F.col("lang") == "en", F.lit(False))
