@@ -18,10 +18,12 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language. Rejected: ``und``, that is, no text or no letter."""
+    """Documents in a learned language. Rejected: ``und``, that is, no text or no letter. Columns
+    of any name stay, ``lang_pred`` and ``score`` too."""
     train = fold(F.col("doc_id"), 3) != 1
-    found = language_id.identify_languages(docs, "text", "lang", train)
-    return found.filter(F.col("lang_pred") != language_id.UNKNOWN).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), "doc_id", "text", "lang")
+    found = language_id.identify_languages(rows, "text", "lang", train)
+    return found.filter(F.col("lang_pred") != language_id.UNKNOWN).select("row.*")
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

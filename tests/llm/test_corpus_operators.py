@@ -247,3 +247,13 @@ def test_null_and_repeated_ids_lose_no_other_text(spark):
     assert {r.text.strip() for r in kept.collect()} == {t.strip() for _, t in rows}
     kept = decontamination.drop_contaminated(docs, "doc_id", "text", items, "item_id", "text")
     assert sorted(r.text for r in kept.collect()) == sorted(t for _, t in rows if t != item)
+
+
+def test_language_stage_keeps_columns_of_any_name(spark):
+    docs = table(spark, SF_DIR, "documents")
+    plain = corpus_pipeline.language(spark, docs, SF_DIR)
+    own = docs.selectExpr("*", "'mine' AS lang_pred", "7 AS score", "1 AS row")
+    kept = corpus_pipeline.language(spark, own, SF_DIR)
+    assert kept.columns == own.columns
+    assert {(r.lang_pred, r.score, r.row) for r in kept.collect()} == {("mine", 7, 1)}
+    assert sorted(r.doc_id for r in kept.collect()) == sorted(r.doc_id for r in plain.collect())
