@@ -40,16 +40,39 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
+#: What a written step shuffled is not read again, so its files go when it ends.
+_FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def written(df: DataFrame, group_rows: int | None = None) -> DataFrame:
     """``df`` as a table in the shared folder. Cuts the lineage: what was written does not
     depend on executors that ran it, and later steps read it again at the cost of a scan.
     For wide rows, ``group_rows`` bounds the rows that a reader holds at once."""
-    path = f"{shared_folder(df.sparkSession)}/table"
+    spark = df.sparkSession
+    path = f"{shared_folder(spark)}/table"
     writer = df.write.option("compression", "zstd")
     if group_rows:
         writer = writer.option("parquet.block.row.count.limit", group_rows)
-    writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    before = spark.conf.get(_FREE_SHUFFLES, None)
+    spark.conf.set(_FREE_SHUFFLES, "true")
+    try:
+        writer.parquet(path)
+    finally:
+        if before is None:
+            spark.conf.unset(_FREE_SHUFFLES)
+        else:
+            spark.conf.set(_FREE_SHUFFLES, before)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def removed(*tables: DataFrame) -> None:
+    """Remove the files of tables from ``written`` that no later step reads."""
+    for df in tables:
+        spark = df.sparkSession
+        folders = {name.rsplit("/", 1)[0] for name in df.inputFiles()}
+        for folder in folders:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder).getParent()
+            path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
 def row_key(id_col: str, text_col: str) -> Column:

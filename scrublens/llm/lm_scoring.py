@@ -8,26 +8,36 @@ training documents is set aside, estimates come from the others, and the weights
 under which the bigrams set aside are most probable. The model then takes its frequencies
 from all training documents.
 
-Documents are dealt into blocks of at most ``BLOCK`` tokens, one row each, with the
-different words and bigrams of the block. So a bigram travels once for each block it occurs
-in, not for each document or place, and its count comes back the same way. Everything is
-counted over all documents; blocks and what is sent to the driver (numbers of a few cells)
-are bounded, the model's tables are joined and never broadcast.
+Documents are dealt into blocks of at most ``BLOCK`` tokens. A block asks for the counts of
+its different words, then of its different bigrams. It does so in packets, one for each range
+of words or bigrams that it meets: sorted, delta-coded and compressed, first with the block's own
+counts and then, after all counts of the range are summed, to be answered in the same order.
+Words are numbered on the way, so bigrams are pairs of numbers and counted exactly. The number
+of ranges grows with the data: a task holds the sums of one range, or one block. Everything
+is counted over all documents; what is sent to the driver (numbers of a few cells) is bounded, the
+model's tables are never broadcast, and a step's tables are removed when the next one is written.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrublens.llm.common import written
+from scrublens.llm.common import removed, written
 
-BLOCK = 1 << 17
+BLOCK = 1 << 18
+#: A range is of about so many bytes of text, or bigrams of blocks.
+WORD_RANGE, PAIR_RANGE = 1 << 24, 1 << 21
+#: Blocks to a task that puts answers to them.
+_TOGETHER = 8
 BEGIN, END = b"  ", b" "  # not words, as words have no blank
 BUCKETS = 48
 STEPS = 200
@@ -37,203 +47,285 @@ _FEW = 1e-6
 
 _LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 
-_BLOCK_SCHEMA = (
-    "block long, words array<binary>, begins array<boolean>, first array<int>, "
-    "second array<int>, keep array<int>, tune array<int>, row array<long>, size array<int>, "
-    "uses array<int>"
-)
 #: Blocks to a row group of a written table, which is what a reader holds.
 _GROUP = 16
+#: Rows of a batch handed to Spark.
+_BATCH = 64
+
+
+def _packed(*arrays: np.ndarray) -> bytes:
+    """Arrays of whole numbers, none negative, in the bytes that they need, compressed."""
+    parts = []
+    for array in arrays:
+        array = np.ascontiguousarray(array, "<u8")
+        width = (int(array.max(initial=0)).bit_length() + 7) // 8
+        parts.append(np.array([len(array), width], "<u8").tobytes())
+        parts.append(array.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes())
+    return zstandard.compress(b"".join(parts), 3)
+
+
+def _unpacked(data: bytes) -> list[np.ndarray]:
+    raw, at, arrays = zstandard.decompress(data), 0, []
+    while at < len(raw):
+        count, width = np.frombuffer(raw, "<u8", 2, at).tolist()
+        at += 16
+        array = np.zeros((count, 8), np.uint8)
+        array[:, :width] = np.frombuffer(raw, np.uint8, count * width, at).reshape(width, count).T
+        arrays.append(array.reshape(-1).view("<i8"))
+        at += count * width
+    return arrays
 
 
 class _Blocks:
-    """Gathers documents into blocks; a long one is cut into several."""
+    """Gathers documents into blocks of ``most`` tokens; a long one is cut into several."""
 
-    def __init__(self, number: int) -> None:
-        self.number = number
+    def __init__(self, number: int, most: int, ranges: int) -> None:
+        self.number, self.most, self.ranges = number, most, ranges
         self.clear()
 
     def clear(self) -> None:
         self.words: dict[bytes, int] = {}
-        self.pairs: list[np.ndarray] = []
+        self.stream: list[np.ndarray] = []
         self.parts: list[tuple] = []  # row, id, tokens, 1: keep, 2: tune, 0: neither
         self.size = 0
 
-    def add(self, row: int, tokens: list[bytes], kind: int, own) -> Iterator[dict]:
+    def add(self, row: int, tokens: list[bytes], kind: int, own) -> Iterator[tuple]:
         """``tokens`` from the context of the first one on, of the document with id ``own``."""
         at = 0
         while at < len(tokens) - 1:
-            part = tokens[at : at + BLOCK - self.size + 1]
+            part = tokens[at : at + self.most - self.size + 1]
             words = self.words
-            ids = np.array([words.setdefault(w, len(words)) for w in part], np.int64)
-            self.pairs.append(ids[:-1] << 32 | ids[1:])
+            self.stream.append(np.array([words.setdefault(w, len(words)) for w in part], np.int64))
             self.parts.append((row, own, len(part) - 1, kind))
             self.size += len(part) - 1
             at += len(part) - 1
-            if self.size >= BLOCK:
+            if self.size >= self.most:
                 yield from self.close()
 
-    def close(self) -> Iterator[dict]:
+    def close(self) -> Iterator[tuple]:
+        """The block itself, and what it asks about its words: block, range, how many bigrams or words,
+        packed numbers, words, ids. Its words are numbered by range, then as they sort."""
         if not self.parts:
             return
-        row, ids, size, kind = zip(*self.parts)
-        kind = np.array(kind)
-        pairs, firsts, uses = np.unique(
-            np.concatenate(self.pairs), return_index=True, return_inverse=True
-        )
-        order = np.argsort(firsts)  # by first appearance
-        number = np.empty_like(order)
+        rows, ids, size, kind = zip(*self.parts)
+        ranged = [(zlib.crc32(word) % self.ranges, word) for word in self.words]
+        order = sorted(range(len(ranged)), key=ranged.__getitem__)
+        number = np.empty(len(order), np.int64)
         number[order] = np.arange(len(order))
-        pairs, uses = pairs[order], number[uses]
-        new = np.zeros(len(uses), bool)
-        new[firsts] = True
-        kinds = np.repeat(kind, size)
-        yield {
-            "block": self.number,
-            "words": list(self.words),
-            "begins": [word == BEGIN for word in self.words],
-            "first": pairs >> 32,
-            "second": pairs & 0xFFFFFFFF,
-            "keep": np.bincount(uses[kinds == 1], minlength=len(pairs)),
-            "tune": np.bincount(uses[kinds == 2], minlength=len(pairs)),
-            "row": row,
-            "id": ids,
-            "size": size,
-            # How far back among the bigrams so far; 0 for a new one, which most are.
-            "uses": np.cumsum(new) - new - uses,
-        }
+        stream = number[np.concatenate(self.stream)]
+        begin = [number[self.words[BEGIN]]] if BEGIN in self.words else []
+        data = _packed(stream, size, kind, rows, begin)
+        block = _Block(data)
+        keep, tune = block.of_words(1), block.of_words(2)
+        yield self.number, -1, len(block.first), data, None, ids
+        at = 0
+        for ranged_to, some in groupby((ranged[i] for i in order), key=lambda pair: pair[0]):
+            own = [word for _, word in some]
+            upto = at + len(own)
+            counts = _packed(keep[at:upto], tune[at:upto])
+            yield self.number, ranged_to, len(own), counts, zstandard.compress(b"\n".join(own), 3), None
+            at = upto
         self.number += 1
         self.clear()
 
 
-def blocks(docs: DataFrame) -> DataFrame:
-    """The blocks of ``id, text, kind`` (1: keep, 2: tune, 0: neither). A ``row`` is a number
-    for each row of ``docs``."""
-    schema = f"{_BLOCK_SCHEMA}, id array<{docs.schema['id'].dataType.simpleString()}>"
-
-    def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-
-        row = TaskContext.get().partitionId() << 33
-        made = _Blocks(row)
-        kinds = {"words": pa.binary(), "begins": pa.bool_(), "row": pa.int64()}
-        names = [field.split(" ")[0] for field in _BLOCK_SCHEMA.split(", ")] + ["id"]
-
-        def batch(line: dict) -> pa.RecordBatch:
-            columns = [pa.array([line["block"]], pa.int64())]
-            for name in names[1:]:
-                flat = pa.array(line[name], kinds.get(name, pa.int32()))
-                columns.append(pa.ListArray.from_arrays(pa.array([0, len(flat)], pa.int32()), flat))
-            return pa.RecordBatch.from_arrays(columns, names)
+class _Block:
+    """What a block holds, from its packed numbers: the bigrams ``first``, ``second`` of its words'
+    numbers, and ``uses``, the bigram of each token."""
 
-        for some in batches:
-            kinds["id"] = some.column(0).type
-            for own, text, kind in zip(*(some.column(i).to_pylist() for i in range(3))):
-                tokens = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
-                for line in made.add(row, [BEGIN, *tokens, END], kind, own):
-                    yield batch(line)
-                row += 1
-        for line in made.close():
-            yield batch(line)
+    def __init__(self, data: bytes) -> None:
+        stream, self.size, self.kind, self.row, self.begin = _unpacked(data)
+        ends = np.cumsum(self.size + 1)
+        seconds = np.ones(len(stream), bool)
+        seconds[ends - self.size - 1] = False
+        at = np.flatnonzero(seconds)
+        self.kinds = np.repeat(self.kind, self.size)
+        self.tokens = stream[at]
+        self.many = int(stream.max(initial=-1)) + 1
+        pairs, self.uses = np.unique(stream[at - 1] << 32 | self.tokens, return_inverse=True)
+        self.first, self.second = pairs >> 32, pairs & 0xFFFFFFFF
 
-    return docs.select("id", "text", "kind").mapInArrow(run, schema)
+    def of_words(self, kind: int) -> np.ndarray:
+        return np.bincount(self.tokens[self.kinds == kind], minlength=self.many)
 
+    def of_pairs(self, kind: int) -> np.ndarray:
+        return np.bincount(self.uses[self.kinds == kind], minlength=len(self.first))
 
-def _used(back: np.ndarray) -> np.ndarray:
-    """The bigram of each token, from how far back it is among those so far."""
-    new = back == 0
-    return np.cumsum(new) - new - back
-
-
-def _pairs(made: DataFrame) -> DataFrame:
-    """``block, at, key, keep, train`` of the bigrams of each block; ``keep`` and ``train``
-    are the counts over all documents. A hash of 64 bits stands for a bigram.
-
-    A bigram has one row for each block, so the commonest has few of all rows.
-    """
-    each = F.transform(
-        F.arrays_zip("first", "second", "keep", "tune"),
-        lambda p: F.struct(
-            F.xxhash64(
-                F.element_at("words", p["first"] + 1), F.element_at("words", p["second"] + 1)
-            ).alias("key"),
-            p["keep"].alias("own_keep"),
-            (p["keep"] + p["tune"]).alias("own_train"),
-        ),
-    )
-    rows = made.select("block", F.posexplode(each).alias("at", "p")).select("block", "at", "p.*")
-    whole = Window.partitionBy("key")
-    return rows.select(
-        "block",
-        "at",
-        F.sum("own_keep").over(whole).alias("keep"),
-        F.sum("own_train").over(whole).alias("train"),
-        "own_keep",
-        "own_train",
-    )
-
-
-def _words(made: DataFrame) -> DataFrame:
-    """``word, keep, tune``: the words as second of the bigrams of each block."""
-    each = F.transform(
-        F.arrays_zip("second", "keep", "tune"),
-        lambda p: F.struct(
-            F.element_at("words", p["second"] + 1).alias("word"), p["keep"], p["tune"]
-        ),
-    )
-    return made.select(F.inline(each))
+    def order(self, number: np.ndarray, ranges: int, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The bigrams by range and code: their order, ranges and codes. ``number`` is that of each word
+        in all blocks, at most ``top``. Whatever a bigram's first word, its second words are spread over
+        all ranges, and the other way round; in a range, the code alone tells bigrams apart."""
+        first, second = number[self.first], number[self.second]
+        ranged = (first % ranges * 40503 + second) % ranges
+        code = first * (top // ranges + 1) + second // ranges
+        order = np.lexsort((code, ranged))
+        return order, ranged[order], code[order]
 
 
-def _counted(words: DataFrame) -> DataFrame:
-    """Counts over all training documents, of the words that occur there."""
-    sums = words.filter("keep + tune > 0").groupBy("word")
-    return sums.agg(F.sum("keep").alias("keep"), (F.sum("keep") + F.sum("tune")).alias("train"))
+def _lines(batches: Iterator) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(column.to_pylist() for column in batch.columns))
 
 
-def _answered(made: DataFrame, words: DataFrame) -> DataFrame:
-    """The blocks with the counts of their words and bigrams, written."""
-    of_words = made.select("block", F.posexplode("words").alias("at", "word")).join(words, "word")
-    # A block knows its own counts, so only bigrams of more than one block have an answer.
-    of_pairs = _pairs(made).filter("keep != own_keep OR train != own_train")
-    answers = of_words.select(F.col("block").alias("by"), F.lit(0).alias("of"), "at", "keep", "train").unionByName(
-        of_pairs.select(F.col("block").alias("by"), F.lit(1).alias("of"), "at", "keep", "train")
-    )
-    new = "word_keep array<long>, word_train array<long>, pair_keep array<long>, pair_train array<long>"
-    asked = made.select(
-        "block", F.size("words").alias("many"), "begins", "first", "second", "keep", "tune", "row", "size", "uses"
-    )
-    schema = (
-        "block long, many int, begins array<boolean>, first array<int>, second array<int>, tune array<int>, "
-        f"row array<long>, size array<int>, uses array<int>, {new}"
-    )
+def _made(df: DataFrame, function, schema: str, *fixed) -> DataFrame:
+    """Rows from rows, as tuples, a few at a time."""
 
-    def run(block: pd.DataFrame, found: pd.DataFrame) -> pd.DataFrame:
-        line = block.iloc[:1].copy()
-        keep, tune = (np.asarray(line[name].iloc[0], np.int64) for name in ("keep", "tune"))
-        words = {"keep": np.zeros(line["many"].iloc[0], np.int64)}
-        words["train"] = words["keep"].copy()
-        known = {"word": words, "pair": {"keep": keep, "train": keep + tune}}
-        for of, name in enumerate(known):
-            own = found[found["of"] == of]
-            for column in ("keep", "train"):
-                counts = known[name][column].copy()
-                counts[own["at"].to_numpy()] = own[column].to_numpy()
-                line[f"{name}_{column}"] = [counts]
-        return line.drop(columns="keep")
-
-    both = asked.groupBy("block").cogroup(answers.groupBy("by"))
-    return written(both.applyInPandas(run, schema), _GROUP)
-
-
-def _estimates(line, of: str, begun: int, total: int, vocabulary: int):
-    """Bucket of the context, and the three estimates, for each bigram of a block. ``begun``
-    is the count of the context that begins a document."""
-    word, pair = (np.asarray(line[f"{x}_{of}"]) for x in ("word", "pair"))
-    first, second = np.asarray(line["first"]), np.asarray(line["second"])
-    before = word[first]
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        from pyspark.sql.pandas.types import to_arrow_schema
+
+        wanted = to_arrow_schema(kinds)
+        some = []
+
+        def batch() -> pa.RecordBatch:
+            columns = [pa.array(values, field.type) for values, field in zip(zip(*some), wanted)]
+            return pa.RecordBatch.from_arrays(columns, schema=wanted)
+
+        for line in function(batches, *fixed):
+            some.append(line)
+            if len(some) >= _BATCH:
+                yield batch()
+                some = []
+        if some:
+            yield batch()
+
+    from pyspark.sql.types import StructType
+
+    kinds = StructType.fromDDL(schema)
+    return df.mapInArrow(run, schema)
+
+
+def _dealt(df: DataFrame, key: str, many: int, *order: str) -> DataFrame:
+    """``df`` with the rows of a key in one of ``many`` partitions, in order."""
+    to = F.pmod(F.xxhash64(key), F.lit(many)) if key == "block" else F.pmod(key, F.lit(many))
+    return df.repartitionById(many, to.cast("int")).sortWithinPartitions(key, *order)
+
+
+def _blocks(batches: Iterator, most: int, ranges: int) -> Iterator[tuple]:
+    row = TaskContext.get().partitionId() << 33
+    made = _Blocks(row, most, ranges)
+    for own, text, kind in _lines(batches):
+        tokens = text.encode("utf-8", "surrogatepass").translate(_LOWER).split()
+        yield from made.add(row, [BEGIN, *tokens, END], kind, own)
+        row += 1
+    yield from made.close()
+
+
+def _count_words(batches: Iterator, ranges: int) -> Iterator[tuple]:
+    """Answers to the packets of ``range, phase, block, data, words``, sorted: in phase 0 they are
+    summed, in phase 1 answered with the words' numbers and counts. And a line of totals."""
+    for ranged, lines in groupby(_lines(batches), key=lambda line: line[0]):
+        places: dict[bytes, int] = {}
+        counts = np.zeros((2, 1024), np.int64)  # keep, tune
+        for _, phase, block, data, words in lines:
+            words = zstandard.decompress(words).split(b"\n")
+            if phase == 0:
+                at = [places.setdefault(word, len(places)) for word in words]
+                if len(places) > counts.shape[1]:
+                    counts = np.pad(counts, ((0, 0), (0, 2 * len(places) - counts.shape[1])))
+                counts[:, at] += _unpacked(data)
+            else:
+                at = np.array([places[word] for word in words])
+                keep, tune = counts[:, at]
+                yield ranged, block, _packed(at * ranges + ranged, keep, keep + tune), *[None] * 7
+        keep, train = counts[0], counts.sum(axis=0)
+        end = places.get(END)
+        ends = (0, 0) if end is None else (int(keep[end]), int(train[end]))
+        numbers = keep.sum(), train.sum(), (keep > 0).sum(), (train > 0).sum(), *ends
+        yield ranged, None, None, *map(int, numbers), len(places) * ranges
+
+
+def _numbered(batches: Iterator) -> Iterator[tuple]:
+    """Blocks with the answers on their words, from ``block, range, n, data, id``, sorted."""
+    for block, lines in groupby(_lines(batches), key=lambda line: line[0]):
+        _, _, n, data, ids = next(lines)
+        answers = [_unpacked(line[3]) for line in lines]
+        yield block, n, data, _packed(*map(np.concatenate, zip(*answers))), ids
+
+
+def _ask_pairs(batches: Iterator, ranges: int, top: int) -> Iterator[tuple]:
+    for block, data, words in _lines(batches):
+        made = _Block(data)
+        order, ranged, code = made.order(_unpacked(words)[0], ranges, top)
+        keep, tune = made.of_pairs(1)[order], made.of_pairs(2)[order]
+        cuts = np.flatnonzero(np.diff(ranged, prepend=-1, append=ranges))
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            where, own = int(ranged[a]), code[a:b]
+            yield where, 1, block, _packed(np.diff(own, prepend=0))
+            learned = np.flatnonzero(keep[a:b] + tune[a:b])
+            if len(learned):
+                counts = keep[a:b][learned], tune[a:b][learned]
+                yield where, 0, block, _packed(np.diff(own[learned], prepend=0), *counts)
+
+
+class _Sums:
+    """Sums of counts by code. New ones are merged when they are as many as the old ones."""
+
+    def __init__(self) -> None:
+        self.codes, self.counts = np.zeros(0, np.int64), np.zeros((2, 0), np.int64)
+        self.new: list[list[np.ndarray]] = []
+        self.many = 0
+
+    def add(self, codes: np.ndarray, keep: np.ndarray, tune: np.ndarray) -> None:
+        self.new.append([codes, keep, tune])
+        self.many += len(codes)
+        if self.many > max(len(self.codes), 1 << 18):
+            self.merge()
+
+    def merge(self) -> None:
+        lines = [[self.codes, *self.counts], *self.new]
+        codes, *counts = (np.concatenate(column) for column in zip(*lines))
+        order = np.argsort(codes, kind="stable")
+        codes = codes[order]
+        starts = np.flatnonzero(np.diff(codes, prepend=-1))
+        self.codes = codes[starts]
+        if len(starts):
+            self.counts = np.stack([np.add.reduceat(count[order], starts) for count in counts])
+        self.new, self.many = [], 0
+
+    def of(self, codes: np.ndarray) -> np.ndarray:
+        if self.new:
+            self.merge()
+        if not len(self.codes):
+            return np.zeros((2, len(codes)), np.int64)
+        at = np.minimum(np.searchsorted(self.codes, codes), len(self.codes) - 1)
+        return np.where(self.codes[at] == codes, self.counts[:, at], 0)
+
+
+def _count_pairs(batches: Iterator) -> Iterator[tuple]:
+    for ranged, lines in groupby(_lines(batches), key=lambda line: line[0]):
+        sums = _Sums()
+        for _, phase, block, data in lines:
+            codes, *counts = _unpacked(data)
+            codes = np.cumsum(codes)
+            if phase == 0:
+                sums.add(codes, *counts)
+            else:
+                keep, tune = sums.of(codes)
+                yield ranged, block, _packed(keep, keep + tune)
+
+
+def _answered(batches: Iterator, ranges: int, top: int) -> Iterator[tuple]:
+    """Blocks with the counts of their words and bigrams, from ``block, range, data, words, id``."""
+    for _, lines in groupby(_lines(batches), key=lambda line: line[0]):
+        _, _, data, words, ids = next(lines)
+        number, *of_words = _unpacked(words)
+        answers = [_unpacked(line[2]) for line in lines]
+        order, _, _ = _Block(data).order(number, ranges, top)
+        found = []
+        for counts in map(np.concatenate, zip(*answers)):
+            found.append(np.empty_like(counts))
+            found[-1][order] = counts
+        yield data, _packed(*of_words, *found), ids
+
+
+def _estimates(block: _Block, word: np.ndarray, pair: np.ndarray, begun: int, total: int, vocabulary: int):
+    """Bucket of the context, and the three estimates, for each bigram of a block, from the
+    counts of its words and bigrams. ``begun`` is that of the context that begins a document."""
+    first, second = block.first, block.second
     # Only the beginning of a text is no second word of any bigram; it may also be a context
     # in a block that goes on with a cut document.
-    before = np.where(np.asarray(line["begins"])[first], begun, before)
+    before = np.where(np.isin(first, block.begin), begun, word[first])
     bucket = np.frexp(before.astype(float))[1]
     unigram = word[second] / max(total, 1)
     bigram = pair / np.maximum(before, 1)
@@ -276,22 +368,22 @@ def _cells(answered: DataFrame, begun: int, total: int, vocabulary: int) -> np.n
     """The held-out bigrams counted by bucket and by the ratios of their estimates. All are
     counted; the number of cells is bounded by the resolution of the ratios."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for _, line in batch.iterrows():
-                bucket, chance = _estimates(line, "keep", begun, total, vocabulary)
-                often = np.asarray(line["tune"])
-                some = often > 0
-                ratio = chance[1:, some] / chance[0, some]
-                with np.errstate(divide="ignore"):
-                    steps = np.where(ratio > 0, np.round(np.log2(ratio) * RATIO), -9999).astype(int)
-                frame = pd.DataFrame(
-                    {"bucket": bucket[some], "one": steps[0], "two": steps[1], "often": often[some]}
-                )
-                yield frame.groupby(["bucket", "one", "two"], as_index=False).sum()
-
-    picked = answered.select("tune", "first", "second", "begins", "word_keep", "pair_keep")
-    counted = picked.mapInPandas(run, "bucket int, one int, two int, often long")
+    def run(batches: Iterator) -> Iterator[tuple]:
+        for data, counts in _lines(batches):
+            block, (word, _, pair, _) = _Block(data), _unpacked(counts)
+            often = block.of_pairs(2)
+            some = often > 0
+            bucket, chance = _estimates(block, word, pair, begun, total, vocabulary)
+            ratio = chance[1:, some] / chance[0, some]
+            with np.errstate(divide="ignore"):
+                steps = np.where(ratio > 0, np.round(np.log2(ratio) * RATIO), -9999).astype(int)
+            frame = pd.DataFrame(
+                {"bucket": bucket[some], "one": steps[0], "two": steps[1], "often": often[some]}
+            )
+            sums = frame.groupby(["bucket", "one", "two"], as_index=False).sum()
+            yield from sums.itertuples(index=False, name=None)
+
+    counted = _made(answered.select("data", "counts"), run, "bucket int, one int, two int, often long")
     rows = counted.groupBy("bucket", "one", "two").agg(F.sum("often").alias("often")).toPandas()
     rows = rows.sort_values(["bucket", "one", "two"])
 
@@ -303,6 +395,71 @@ def _cells(answered: DataFrame, begun: int, total: int, vocabulary: int) -> np.n
     )
 
 
+def _exchanged(rows: DataFrame, most: int, word_ranges: int):
+    """Totals, and the blocks with the counts of their words and bigrams: ``data, counts, id``."""
+    ids = f"id array<{rows.schema['id'].dataType.simpleString()}>"
+    made = written(
+        _made(
+            rows.select("id", "text", "kind"),
+            _blocks,
+            f"block long, range int, n long, data binary, words binary, {ids}",
+            most,
+            word_ranges,
+        ),
+        _GROUP,
+    )
+    phase = F.explode(F.array(F.lit(0), F.lit(1))).alias("phase")
+    asked = made.filter("range >= 0").select("range", phase, "block", "data", "words")
+    asked = asked.withColumn("data", F.when(F.col("phase") == 0, F.col("data")))
+    totals = "keep long, train long, keep_types long, train_types long, keep_docs long, train_docs long, top long"
+    found = written(
+        _made(
+            _dealt(asked, "range", word_ranges, "phase", "block"),
+            _count_words,
+            f"range int, block long, data binary, {totals}",
+            word_ranges,
+        )
+    )
+    sums = [F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in found.columns[3:9]]
+    of = found.filter("block IS NULL").agg(*sums, F.coalesce(F.max("top"), F.lit(1)).alias("top")).first()
+    bodies = made.filter("range < 0")
+    held = bodies.agg(F.count(F.lit(1)).alias("blocks"), F.coalesce(F.sum("n"), F.lit(0)).alias("pairs")).first()
+    tasks, pair_ranges = held.blocks // _TOGETHER + 1, held.pairs // PAIR_RANGE + 1
+
+    nothing = F.lit(None)
+    both = bodies.select("block", "range", "n", "data", "id").unionByName(
+        found.filter("block IS NOT NULL").select(
+            "block", "range", nothing.cast("long").alias("n"), "data", nothing.cast(ids[3:]).alias("id")
+        )
+    )
+    schema = f"block long, n long, data binary, words binary, {ids}"
+    numbered = written(_made(_dealt(both, "block", tasks, "range"), _numbered, schema), _GROUP)
+    removed(made, found)
+
+    asked = _made(
+        numbered.select("block", "data", "words"),
+        _ask_pairs,
+        "range long, phase int, block long, data binary",
+        pair_ranges,
+        of.top,
+    )
+    found = written(
+        _made(
+            _dealt(asked, "range", pair_ranges, "phase", "block"),
+            _count_pairs,
+            "range long, block long, data binary",
+        )
+    )
+    both = numbered.select("block", F.lit(-1).cast("long").alias("range"), "data", "words", "id").unionByName(
+        found.select("block", "range", "data", nothing.cast("binary").alias("words"), nothing.cast(ids[3:]).alias("id"))
+    )
+    schema = f"data binary, counts binary, {ids}"
+    dealt = _dealt(both, "block", tasks, "range")
+    answered = written(_made(dealt, _answered, schema, pair_ranges, of.top), _GROUP)
+    removed(numbered, found)
+    return of, answered
+
+
 def score_texts(
     docs: DataFrame, id_col: str, text_col: str, train: Column, tune: Column
 ) -> DataFrame:
@@ -323,52 +480,36 @@ def score_texts(
         F.coalesce(F.col(text_col), F.lit("")).alias("text"),
         kind.otherwise(1).alias("kind"),
     )
-    made = written(blocks(rows), _GROUP)
-    words = written(_counted(_words(made)))
-    begins = F.lit(END)
-    of = words.agg(
-        F.coalesce(F.sum("train"), F.lit(0)).alias("train"),
-        F.coalesce(F.sum("keep"), F.lit(0)).alias("keep"),
-        F.count(F.lit(1)).alias("train_types"),
-        F.count(F.when(F.col("keep") > 0, 1)).alias("keep_types"),
-        # A document has one end, so ends count the documents.
-        F.coalesce(F.max(F.when(F.col("word") == begins, F.col("train"))), F.lit(0)).alias("train_docs"),
-        F.coalesce(F.max(F.when(F.col("word") == begins, F.col("keep"))), F.lit(0)).alias("keep_docs"),
-    ).first()
-    answered = _answered(made, words)
+    kind_of = rows.schema["id"].dataType.simpleString()
+    size = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
+    of, answered = _exchanged(rows, BLOCK, size // WORD_RANGE + 1)
     weights = learned_weights(_cells(answered, of.keep_docs, of.keep, of.keep_types))
     total, types, begun = of.train, of.train_types, of.train_docs
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for _, line in batch.iterrows():
-                bucket, chance = _estimates(line, "train", begun, total, types)
-                model = np.log10((weights[bucket].T * chance).sum(axis=0))
-                count = np.asarray(line["word_train"])[np.asarray(line["second"])]
-                base = np.log10((count + 0.5) / (total + 0.5 * (types + 1)))
-                uses, size = _used(np.asarray(line["uses"])), np.asarray(line["size"])
-                starts = np.cumsum(size) - size
-                yield pd.DataFrame(
-                    {
-                        "row": line["row"],
-                        "n": size,
-                        "known": np.add.reduceat((count > 0)[uses].astype(np.int64), starts),
-                        "base": np.add.reduceat(base[uses], starts),
-                        "model": np.add.reduceat(model[uses], starts),
-                    }
-                )
-
-    picked = answered.select("first", "second", "begins", "row", "size", "uses", "word_train", "pair_train")
-    parts = picked.mapInPandas(run, "row long, n long, known long, base double, model double")
+    def run(batches: Iterator) -> Iterator[tuple]:
+        for data, counts, ids in _lines(batches):
+            block, (_, word, _, pair) = _Block(data), _unpacked(counts)
+            bucket, chance = _estimates(block, word, pair, begun, total, types)
+            model = np.log10((weights[bucket].T * chance).sum(axis=0))
+            count = word[block.second]
+            base = np.log10((count + 0.5) / (total + 0.5 * (types + 1)))
+            starts = np.cumsum(block.size) - block.size
+            each = ((count > 0).astype(np.int64), base, model)
+            sums = (np.add.reduceat(values[block.uses], starts).tolist() for values in each)
+            yield from zip(block.row.tolist(), ids, block.size.tolist(), *sums)
+
+    parts = _made(
+        answered, run, f"row long, id {kind_of}, n long, known long, base double, model double"
+    )
+    # A document that was cut is in several blocks.
     sums = parts.groupBy("row").agg(
+        F.first("id").alias("id"),
         F.sum("n").alias("n_tokens"),
         F.sum("known").alias("n_known"),
         F.sum("base").alias("base_score"),
         F.sum("model").alias("score"),
     )
-    # A document that was cut is in several blocks.
-    ids = made.select(F.inline(F.arrays_zip("row", "id"))).dropDuplicates(["row"])
-    return ids.join(sums, "row").select(
+    return sums.select(
         F.col("id").alias(id_col),
         "n_tokens",
         "n_known",
