@@ -40,27 +40,28 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-#: What a written step shuffled is not read again, so its files go when it ends.
+#: Whether the shuffle files of a query go when it ends.
 _FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
-def written(df: DataFrame, group_rows: int | None = None) -> DataFrame:
+def written(df: DataFrame, group_rows: int | None = None, free_shuffles: bool = False) -> DataFrame:
     """``df`` as a table in the shared folder. Cuts the lineage: what was written does not
     depend on executors that ran it, and later steps read it again at the cost of a scan.
-    For wide rows, ``group_rows`` bounds the rows that a reader holds at once."""
+    For wide rows, ``group_rows`` bounds the rows that a reader holds at once. With
+    ``free_shuffles``, what was shuffled for the step goes when it is written."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/table"
     writer = df.write.option("compression", "zstd")
     if group_rows:
         writer = writer.option("parquet.block.row.count.limit", group_rows)
-    before = spark.conf.get(_FREE_SHUFFLES, None)
-    spark.conf.set(_FREE_SHUFFLES, "true")
-    try:
+    if not free_shuffles:
         writer.parquet(path)
-    finally:
-        if before is None:
-            spark.conf.unset(_FREE_SHUFFLES)
-        else:
+    else:
+        before = spark.conf.get(_FREE_SHUFFLES, "false")
+        spark.conf.set(_FREE_SHUFFLES, "true")
+        try:
+            writer.parquet(path)
+        finally:
             spark.conf.set(_FREE_SHUFFLES, before)
     return spark.read.schema(df.schema).parquet(path)
 

@@ -31,7 +31,8 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from scrublens.llm.common import removed, written
+from scrublens.llm.common import removed
+from scrublens.llm.common import written as written_table
 
 BLOCK = 1 << 18
 #: A range is of about so many bytes of text, or bigrams of blocks.
@@ -76,6 +77,10 @@ def _unpacked(data: bytes) -> list[np.ndarray]:
     return arrays
 
 
+def written(df: DataFrame, group_rows: int | None = None) -> DataFrame:
+    return written_table(df, group_rows, free_shuffles=True)
+
+
 class _Blocks:
     """Gathers documents into blocks of ``most`` tokens; a long one is cut into several."""
 
