@@ -165,6 +165,7 @@ def repair(
     ``inserted`` (role of an empty turn put before it, else null), ``closing`` (role or roles
     of the empty turns that end the conversation after it, else null) and ``rendered``. The
     ``rendered`` of a conversation, in the order of ``position``, make up its text in ChatML.
+    A text cannot begin or end a turn: its ``<|im_`` is rendered as ``< |im_``.
 
     Rows are ordered by turn (null first), then by role and text; rows that are repeated
     whole are turns of their own, to be merged. Null conversations are one conversation. A
@@ -295,7 +296,7 @@ def _rendered(rows: DataFrame, conv_col: str, turn_col: str) -> DataFrame:
         closing.alias("closing"),
         F.concat(
             F.when(F.col("action") == "merge", nothing).otherwise(start),
-            F.col("text"),
+            F.replace(F.col("text"), F.lit("<|im_"), F.lit("< |im_")),
             F.lit("\n"),
             end,
         ).alias("rendered"),
